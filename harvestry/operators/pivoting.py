@@ -13,6 +13,7 @@ NOTHING = ["-", "--", "—", "?", "??", "???", "n/a", "N/A", "na", "none", "null
 #: Greek month names, in the genitive, by the first three letters without accents.
 MONTHS = ["ιαν", "φεβ", "μαρ", "απρ", "μαι", "ιουν", "ιουλ", "αυγ", "σεπ", "οκτ", "νοε", "δεκ"]
 #: How depositors write yes and no, without accents.
+BLANKS = " \t\n\r\u00a0\u2007\u202f\u2009\u3000"
 YES, NO = ["ναι", "nai", "yes", "true", "1"], ["οχι", "oxi", "ochi", "no", "false", "0"]
 TYPES = ["boolean", "date", "bytes", "minutes", "scale", "decimal", "count", "string"]
 KIND_SQL = {"boolean": "boolean", "date": "date", "bytes": "bigint", "minutes": "double", "scale": "bigint", "decimal": "double", "count": "bigint", "string": "string"}
@@ -52,12 +53,12 @@ def explode_fields(df: DataFrame, text: str) -> DataFrame:
 def _staged(df: DataFrame) -> DataFrame:
     """Adds ``_t`` (trimmed value, null if it says nothing), ``_low`` and ``_plain`` as columns of their own, so that
     each is computed once per value, and ``_typed``: whether the value can be anything but text."""
-    t = F.regexp_replace(F.col("_value"), r"(?U)^\s+|\s+$", "")
-    df = df.withColumn("_t", t).withColumn("_low", F.lower("_t"))
-    df = df.withColumn("_t", F.when(~F.col("_low").isin([x.lower() for x in NOTHING]), F.col("_t")))
+    t = F.when(F.length("_value") <= 60, F.trim("_value", F.lit(BLANKS))).otherwise(F.col("_value"))
+    df = df.withColumn("_t", t).withColumn("_low", F.when(F.length("_t") <= 40, F.lower("_t")))
+    df = df.withColumn("_t", F.when(F.col("_low").isNull() | ~F.col("_low").isin([x.lower() for x in NOTHING]), F.col("_t")))
     df = df.withColumn("_plain", F.translate("_low", "άέήίόύώϊ", "αεηιουωι"))
-    maybe = F.col("_low").rlike(r"^[-\d]|\d") | F.col("_plain").isin(*YES, *NO)
-    return df.withColumn("_typed", F.coalesce((F.length("_t") <= 40) & maybe, F.lit(False)))
+    maybe = F.col("_low").rlike(r"\d") | F.col("_plain").isin(*YES, *NO)
+    return df.withColumn("_typed", F.coalesce(maybe & F.col("_t").isNotNull(), F.lit(False)))
 
 
 def _readings() -> dict[str, Column]:
@@ -102,10 +103,11 @@ def discover_attributes(eav: DataFrame, share: float = 0.8) -> DataFrame:
     in a column of sizes counts as bytes. Names without any such value are strings.
     """
     kinds = _readings()
-    staged = _staged(eav.where(F.col("_name").isNotNull()).select("_name", "_value", "_first"))
-    flags = [F.when(F.col("_typed"), r.isNotNull()).otherwise(F.lit(False)).cast("long").alias(k) for k, r in kinds.items()]
-    rows = staged.select("_name", F.col("_first").cast("long").alias("f"), F.col("_t").isNotNull().cast("long").alias("string"), *flags)
-    sums = rows.groupBy(F.col("_name").alias("name")).agg(F.sum("f").alias("n_records"), F.count(F.lit(1)).alias("n_values"), *[F.sum(k).alias(k) for k in TYPES])
+    short = F.when(F.length("_value") <= 60, F.col("_value")).otherwise(F.lit("long text"))
+    seen = eav.where(F.col("_name").isNotNull()).groupBy("_name", short.alias("_value")).agg(F.sum(F.col("_first").cast("long")).alias("f"), F.count(F.lit(1)).alias("n"))
+    flags = [F.when(F.col("_typed") & r.isNotNull(), F.col("n")).otherwise(F.lit(0)).alias(k) for k, r in kinds.items()]
+    rows = _staged(seen).select("_name", "f", "n", F.when(F.col("_t").isNotNull(), F.col("n")).otherwise(F.lit(0)).alias("string"), *flags)
+    sums = rows.groupBy(F.col("_name").alias("name")).agg(F.sum("f").alias("n_records"), F.sum("n").alias("n_values"), *[F.sum(k).alias(k) for k in TYPES])
     enough = F.col("string") * share
     kind = F.lit("string")
     for k in reversed(TYPES[:-1]):
