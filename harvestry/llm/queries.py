@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harvestry.llm.canon import map_values
 from harvestry.llm.fusion import fuse_pages
+from harvestry.llm.lookalikes import unify
 from harvestry.plans.registry import Registry, table
 
 R = Registry()
@@ -21,3 +23,32 @@ def p1_fused(spark, d):
     rows = table(spark, d, "external_pdfs")
     fused = fuse_pages(rows)
     return fused.join(rows.select(F.col("row_id").alias("url_row_id"), "edm_url"), "url_row_id", "left").drop("url_row_id")
+
+
+def _mapped(spark, d):
+    return map_values(table(spark, d, "edm_labeled"), "type", table(spark, d, "type_labels"), "label_id", ["label_el", "label_en"], ["row_id", "type"])
+
+
+@R.add("p2_found")
+def p2_found(spark, d):
+    return _mapped(spark, d).select("row_id", "label_id")
+
+
+@R.add("p2_unmatched")
+def p2_unmatched(spark, d):
+    """Report of the values that stand for no entry."""
+    return _mapped(spark, d).where(F.col("label_id") == -1).groupBy("type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _unified(spark, d):
+    return unify(table(spark, d, "edm_labeled"), "type", table(spark, d, "type_values"), "value_id", "value", ["row_id", "type"])
+
+
+@R.add("p4_found")
+def p4_found(spark, d):
+    return _unified(spark, d).where(F.col("value_id").isNotNull() & (F.col("type") != F.col("unified"))).select("row_id", "value_id")
+
+
+@R.add("p4_unified")
+def p4_unified(spark, d):
+    return _unified(spark, d)
