@@ -30,19 +30,23 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str, parts:
     )
 
 
-def number_rows(df: DataFrame, key: str, order: str, block: Column, out: str) -> DataFrame:
-    """Add ``out``: the row's number (from 0) within its key by ``order``, which must be unique within the key.
+def number_rows(df: DataFrame, key: str, order: str | list[str], block: Column, out: str, weight: str | None = None) -> DataFrame:
+    """Add ``out``: the row's number (from 0) within its key by ``order``, which must be unique within the key; with
+    ``weight``, the sum of the weights of the rows before it instead.
 
     ``block`` cuts every key into pieces that are monotone in ``order``. Keys are counted per block, the counts are
     prefix-summed per key, and rows are numbered inside (key, block) only. Null keys form one key.
     """
+    order = [order] if isinstance(order, str) else order
     work = df.withColumn("_block", block)
-    counts = work.groupBy(key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    amount = F.coalesce(F.col(weight).cast("long"), F.lit(0).cast("long")) if weight else F.lit(1).cast("long")
+    counts = work.groupBy(key, "_block").agg(F.sum(amount).alias("_n"))
     offsets = counts.select(
         F.col(key).alias("_key"), F.col("_block").alias("_b"),
         (F.sum("_n").over(Window.partitionBy(key).orderBy("_block")) - F.col("_n")).alias("_before"),
     )
-    local = work.withColumn("_local", F.row_number().over(Window.partitionBy(key, "_block").orderBy(order)) - 1)
+    inside = Window.partitionBy(key, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = work.withColumn("_local", F.sum(amount).over(inside) - amount)
     return (
         local.join(offsets, local[key].eqNullSafe(offsets["_key"]) & local["_block"].eqNullSafe(offsets["_b"]))
         .withColumn(out, (F.col("_before") + F.col("_local")).cast("long"))
