@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from harvestry.llm.canon import map_values
 from harvestry.llm.fusion import fuse_pages
+from harvestry.llm.leaks import find_leaks
 from harvestry.llm.lookalikes import unify
+from harvestry.llm.mixing import mix
+from harvestry.llm.pii import entity_lines, redact
 from harvestry.plans.registry import Registry, table
 
 R = Registry()
@@ -52,3 +55,35 @@ def p4_found(spark, d):
 @R.add("p4_unified")
 def p4_unified(spark, d):
     return _unified(spark, d)
+
+
+@R.add("p7_found")
+def p7_found(spark, d):
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+@R.add("p7_spans")
+def p7_spans(spark, d):
+    """Where to cut: merged removal spans in characters."""
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+@R.add("p8_mixture")
+def p8_mixture(spark, d):
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+@R.add("p8_shares")
+def p8_shares(spark, d):
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
+@R.add("p9_found")
+def p9_found(spark, d):
+    return entity_lines(table(spark, d, "documents"))
+
+
+@R.add("p9_redacted")
+def p9_redacted(spark, d):
+    """The texts with typed placeholders; a deployment passes its own key."""
+    return redact(table(spark, d, "documents"), b"key of this test corpus").select("doc_id", "text", "n_entities")
