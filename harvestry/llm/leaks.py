@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 WINDOW, ERRORS, SEED = 16, 2, 5
 #: Words of one shard's index, and items searched at a time; more are searched in further rounds.
 SHARD_WORDS, ITEM_BLOCK = 1_000_000, 20_000
-_L = r"[^\W_̀-ͯ][̀-ͯ]*"
+_L = r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*"
 _JOIN = r"(?:[|·­​-‍⁠﻿]+|[-‐]\s*\n[>\s]*|</?(?:b|i|em|strong|span|u|mark|sub|sup|font)\b[^<>]*>)"
-_WORD = re.compile(rf"<[A-Za-z/!][^<>\n]*>|&(?:#\d+|[a-z]+);|((?:{_L})+(?:{_JOIN}(?:{_L})+)*)")
+_WORD = re.compile(rf"<[A-Za-z/!][^<>\n]*>|&(?:#\d+|[a-z]+);|({_L}(?:{_JOIN}{_L})*)")
 _DROP = re.compile(rf"{_JOIN}")
 
 
@@ -177,7 +177,7 @@ def aligned(passage: list[int], doc: list[int], i: int, p: int) -> tuple[int, in
     """
     size = min(WINDOW, len(passage))
     most = size // 8
-    for a in range(max(0, i - size + 1), min(i, len(passage) - size) + 1):
+    for a in range(min(i, len(passage) - size), max(0, i - size + 1) - 1, -1):
         want = passage[a : a + size]
         for shift in range(-most, most + 1):
             d = p - (i - a) + shift
@@ -192,6 +192,8 @@ def aligned(passage: list[int], doc: list[int], i: int, p: int) -> tuple[int, in
 def _match(want: list[int], doc: list[int], d: int, most: int) -> int | None:
     """Edit distance of ``want`` to a stretch of ``doc`` from ``d`` on, in a band; the end of the best stretch."""
     n, band = len(want), most
+    if doc[d : d + n] == want:
+        return d + n
     stretch = doc[d : d + n + band]
     big = most + 1
     row = {j: j for j in range(min(band, len(stretch)) + 1)}
@@ -227,29 +229,29 @@ def _present(passage: list[int], doc: list[int], i: int, p: int) -> bool:
 
 def scan(batches: Iterator[pd.DataFrame], items: Items) -> Iterator[pd.DataFrame]:
     """Index the documents of a partition shard by shard and yield ``doc_id, item_id, first_char, end_char``."""
-    known: dict[str, int] = {}
-    sep = len(items.vocabulary) + 1
-
-    def number(raw: str) -> int:
-        v = known.get(raw)
-        if v is None:
-            if len(known) > 500_000:
-                known.clear()
-            v = known[raw] = items.vocabulary.get(fold(raw), 0)
-        return v
-
+    vocabulary = items.vocabulary
+    sep = len(vocabulary) + 1
+
+    class Numbers(dict):
+        def __missing__(self, raw: str) -> int:
+            if len(self) > 500_000:  # words seen so far, kept to fold each of them once
+                self.clear()
+            self[raw] = v = vocabulary.get(fold(raw), 0)
+            return v
+
+    known = Numbers()
+    known[""] = -1  # markup
     shard: list[tuple] = []
     size = 0
     for pdf in batches:
         for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
             if not text:
                 continue
-            ids, spans = [], []
-            for m in _WORD.finditer(text):
-                if m[1]:
-                    ids.append(number(m[1]))
-                    spans.append(m.span(1))
-            shard.append((doc_id, ids, spans))
+            ids = np.fromiter(map(known.__getitem__, _WORD.findall(text)), np.int64)
+            ids = ids[ids >= 0]
+            if len(known) == 0 or known.get("") != -1:
+                known[""] = -1
+            shard.append((doc_id, ids, text))
             size += len(ids) + 1
             if size >= SHARD_WORDS:
                 yield _search(shard, items, sep)
@@ -261,7 +263,10 @@ def scan(batches: Iterator[pd.DataFrame], items: Items) -> Iterator[pd.DataFrame
 def _search(shard: list[tuple], items: Items, sep: int) -> pd.DataFrame:
     lengths = np.array([len(ids) + 1 for _, ids, _ in shard])
     starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    symbols = np.fromiter((x for _, ids, _ in shard for x in (*ids, sep)), np.int64, int(lengths.sum()))
+    symbols = np.full(int(lengths.sum()), sep, np.int64)
+    inside = np.ones(len(symbols), bool)
+    inside[starts + lengths - 1] = False
+    symbols[inside] = np.concatenate([ids for _, ids, _ in shard])
     index = FmIndex(symbols, starts, sep + 1)
     hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
     for seeds, matrix in items.by_size.values():
@@ -276,8 +281,10 @@ def _search(shard: list[tuple], items: Items, sep: int) -> pd.DataFrame:
             for item, i in items.seeds[seeds[s]]:
                 hits[d, item].append((p, i))
     out = []
+    words: dict[int, list[int]] = {}
     for (d, item), at in hits.items():
-        doc_id, ids, spans = shard[d]
+        doc_id, text = shard[d][0], shard[d][2]
+        ids = words.get(d) or words.setdefault(d, shard[d][1].tolist())
         passage = items.passages[item]
         merged: list[list[int]] = []
         for p, i in sorted(at):
@@ -291,7 +298,9 @@ def _search(shard: list[tuple], items: Items, sep: int) -> pd.DataFrame:
                     merged[-1][1] = max(merged[-1][1], window[1])
                 else:
                     merged.append(list(window))
-        out += [(doc_id, item, spans[a][0], spans[b - 1][1]) for a, b in merged]
+        if merged:
+            spans = [m.span(1) for m in _WORD.finditer(text) if m[1]]
+            out += [(doc_id, item, spans[a][0], spans[b - 1][1]) for a, b in merged]
     return pd.DataFrame(out, columns=["doc_id", "item_id", "first_char", "end_char"]).astype("int64")
 
 
