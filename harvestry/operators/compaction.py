@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions.prefix import running_total
-from harvestry.session import stored
+from harvestry.session import fresh, stored
 
 #: Boundaries (one per output file) that may be broadcast; beyond it rows are joined to the plan by file name.
 MAX_BOUNDARIES = 1_000_000
@@ -31,32 +31,35 @@ def plan_groups(manifest: DataFrame, target_bytes: int = 128 << 20, shard: str =
     return summed.select("shard", "n_rows", "n_bytes", "start_byte", F.floor(F.col("start_byte") / F.lit(target_bytes)).cast("long").alias("group_id"))
 
 
-def _with_group(data: DataFrame, plan: DataFrame, target_bytes: int, shard: str) -> DataFrame:
-    """Adds ``_group`` and ``_parts``. Rows of files that the plan lacks fall to the group their name sorts into."""
+def _with_group(data: DataFrame, plan: DataFrame, target_bytes: int, shard: str, group: str, pieces: str) -> DataFrame:
+    """Adds ``group`` and ``pieces``. Rows of files that the plan lacks fall to the group their name sorts into."""
     groups = plan.groupBy("group_id").agg(F.min("shard").alias("lo"), F.sum("n_bytes").alias("bytes"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(2 * target_bytes))).cast("int")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(2 * target_bytes))).cast("long")
     n_groups = groups.count()
     if n_groups > MAX_BOUNDARIES:
-        sized = plan.select(F.col("shard").alias("_shard"), "group_id").join(groups.select("group_id", parts.alias("_parts")), "group_id")
-        joined = data.join(sized, data[shard] == sized["_shard"], "left")
-        return joined.withColumn("_group", F.coalesce("group_id", F.lit(-1).cast("long"))).withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop("_shard", "group_id")
+        (name,) = fresh(data.columns, "_shard")
+        sized = plan.select(F.col("shard").alias(name), F.col("group_id").alias(group)).join(groups.select(F.col("group_id").alias(group), parts.alias(pieces)), group)
+        joined = data.join(sized, F.col(shard) == F.col(name), "left").drop(name)
+        return joined.withColumn(group, F.coalesce(group, F.lit(-1).cast("long"))).withColumn(pieces, F.coalesce(pieces, F.lit(1).cast("long")))
     bounds = groups.select("group_id", "lo", parts.alias("parts")).orderBy("lo").toPandas()  # a row per output file, counted above
     lo = data.sparkSession.sparkContext.broadcast((bounds["lo"].to_numpy(object), bounds["group_id"].to_numpy("int64"), bounds["parts"].to_numpy("int64")))
 
     @F.pandas_udf("struct<g:bigint,p:bigint>")
     def locate(names: pd.Series) -> pd.DataFrame:
-        first, ids, pieces = lo.value
+        first, ids, each = lo.value
         known = names.notna().to_numpy()
         at = np.zeros(len(names), "int64")
-        if len(first):
-            codes, uniques = pd.factorize(names)
-            pos = np.maximum(np.searchsorted(first, np.asarray(uniques, object), side="right") - 1, 0) if len(uniques) else np.zeros(0, "int64")
+        if not len(first):
+            return pd.DataFrame({"g": np.full(len(names), -1), "p": np.ones(len(names), "int64")})
+        codes, uniques = pd.factorize(names)
+        if len(uniques):
+            pos = np.maximum(np.searchsorted(first, np.asarray(uniques, object), side="right") - 1, 0)
             at[known] = pos[codes[known]]
-            return pd.DataFrame({"g": np.where(known, ids[at], -1), "p": np.where(known, pieces[at], 1)})
-        return pd.DataFrame({"g": np.full(len(names), -1), "p": np.ones(len(names), "int64")})
+        return pd.DataFrame({"g": np.where(known, ids[at], -1), "p": np.where(known, each[at], 1)})
 
-    found = data.withColumn("_at", locate(F.col(shard)))
-    return found.withColumn("_group", F.col("_at.g")).withColumn("_parts", F.col("_at.p")).drop("_at")
+    (at,) = fresh(data.columns, "_at")
+    found = data.withColumn(at, locate(F.col(shard)))
+    return found.withColumn(group, F.col(f"{at}.g")).withColumn(pieces, F.col(f"{at}.p")).drop(at)
 
 
 def compact(data: DataFrame, manifest: DataFrame, target_bytes: int = 128 << 20, shard: str = "shard", row_key: str = "row_id") -> tuple[DataFrame, str]:
@@ -70,16 +73,16 @@ def compact(data: DataFrame, manifest: DataFrame, target_bytes: int = 128 << 20,
     """
     plan = plan_groups(manifest, target_bytes, shard)
     own = data.columns
-    placed = _with_group(data, plan, target_bytes, shard)
-    part = F.when(F.col("_parts") > 1, F.pmod(F.xxhash64(*own), F.col("_parts"))).otherwise(F.lit(0))
-    placed = placed.withColumn("_part", part.cast("int")).drop("_parts")
+    group, piece, pieces = fresh(own, "_group", "_part", "_parts")
+    placed = _with_group(data, plan, target_bytes, shard, group, pieces)
+    part = F.when(F.col(pieces) > 1, F.pmod(F.xxhash64(*own), F.col(pieces))).otherwise(F.lit(0))
+    placed = placed.withColumn(piece, part.cast("int")).drop(pieces)
     tasks = max(1, min(plan.select("group_id").distinct().count() * 2, 20_000))
-    written, path = stored(placed.repartition(tasks, "_group", "_part"), "compacted", ["_group", "_part"])
+    written, path = stored(placed.repartition(tasks, group, piece), "compacted", [group, piece])
 
-    key = F.xxhash64(F.col(row_key))
-    count = lambda name: [F.count(F.lit(1)).alias(name), F.expr(f"bit_xor(xxhash64({row_key}))").alias(f"{name}_check")]
+    count = lambda name: [F.count(F.lit(1)).alias(name), F.bit_xor(F.xxhash64(F.col(row_key))).alias(f"{name}_check")]
     source = data.groupBy(F.col(shard).alias("s")).agg(*count("source_rows"))
-    result = written.groupBy(F.col("_group").alias("g"), F.col(shard).alias("w")).agg(*count("written_rows"), F.countDistinct("_part").alias("parts"))
+    result = written.groupBy(F.col(group).alias("g"), F.col(shard).alias("w")).agg(*count("written_rows"))
     per_file = (
         source.join(result, source["s"].eqNullSafe(result["w"]), "full_outer")
         .withColumn("name", F.coalesce("s", "w")).drop("s", "w")

@@ -49,3 +49,13 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """``names``, each lengthened until no column is called so (case aside)."""
+    low, out = {t.lower() for t in taken}, []
+    for n in names:
+        while n.lower() in low:
+            n += "_"
+        out.append(n)
+    return out
