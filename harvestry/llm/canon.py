@@ -131,8 +131,10 @@ def map_values(df: DataFrame, text: str, labels: DataFrame, label_id: str, names
         every = every.unionByName(x)
     every = every.where(F.col("name").isNotNull())
     blank = F.regexp_replace(F.col(text), r"[\s\p{Z}\p{Cf}]+", "") == ""
-    rows = df.where(F.col(text).isNotNull() & ~blank)
-    values = rows.groupBy(F.col(text).alias("_text")).agg(F.lit(1).alias("_1"))
+    # own names for what is kept, so that no column of the input can clash with one of the operator's
+    kept = df.where(F.col(text).isNotNull() & ~blank)
+    rows = kept.select(F.col(text).alias("_value"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
+    values = rows.groupBy(F.col("_value").alias("_text")).agg(F.lit(1).alias("_1"))
     values = values.join(every.select(F.col("name").alias("_text")).distinct(), "_text", "left_anti")
     cut = values.select("_text", F.explode_outer(_segments("_text")).alias("lkey"))
     left = cut.where(F.col("lkey").isNotNull()).select("lkey").distinct().withColumn("toks", _tokens("lkey"))
@@ -140,5 +142,5 @@ def map_values(df: DataFrame, text: str, labels: DataFrame, label_id: str, names
     right = named.select("rkey").distinct().withColumn("toks", _tokens("rkey"))
     best = similar(left, right, threshold).join(named, "rkey").groupBy("lkey").agg(F.max(F.struct("jaccard", (-F.col("id")).alias("minus"))).alias("b"))
     per_text = cut.join(best, "lkey", "left").groupBy("_text").agg(F.max("b").alias("b"))
-    out = rows.join(per_text, rows[text] == per_text["_text"])
-    return out.select(*keep, F.coalesce(-F.col("b.minus"), F.lit(-1)).cast("long").alias(label_id), F.col("b.jaccard").alias("jaccard"))
+    out = rows.join(per_text, F.col("_value") == F.col("_text"))
+    return out.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], F.coalesce(-F.col("b.minus"), F.lit(-1)).cast("long").alias(label_id), F.col("b.jaccard").alias("jaccard"))

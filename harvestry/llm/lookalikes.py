@@ -6,7 +6,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Letters of Greek, Latin and Cyrillic that look the same; each group's first letter stands for all.
@@ -86,7 +86,7 @@ def one_form(df: DataFrame, text: str) -> DataFrame:
     return out.select("_text", F.coalesce("canonical", F.lit("")).alias("canonical"), F.coalesce("skeleton", F.lit("")).alias("skeleton"))
 
 
-def unify(df: DataFrame, text: str, values: DataFrame, value_id: str, value: str, keep: list[str | Column]) -> DataFrame:
+def unify(df: DataFrame, text: str, values: DataFrame, value_id: str, value: str, keep: list[str]) -> DataFrame:
     """``keep`` columns of every row of ``df`` with ``value_id`` and ``unified``: the known spelling its text looks like.
 
     Known spellings go through the same operator, and texts are joined to them by skeleton; where several spellings
@@ -97,4 +97,5 @@ def unify(df: DataFrame, text: str, values: DataFrame, value_id: str, value: str
     known = known.groupBy("skeleton").agg(F.min(F.struct("_vid", "_text")).alias("k"))
     forms = one_form(df, text).join(known, "skeleton", "left")
     forms = forms.select("_text", F.col("k._vid").alias("_vid"), F.coalesce("k._text", "canonical").alias("_unified"))
-    return df.join(forms, df[text] == forms["_text"], "left").select(*keep, F.col("_vid").alias(value_id), F.col("_unified").alias("unified"))
+    rows = df.select(F.col(text).alias("_value"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
+    return rows.join(forms, F.col("_value") == F.col("_text"), "left").select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], F.col("_vid").alias(value_id), F.col("_unified").alias("unified"))
