@@ -6,8 +6,10 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Letters of Greek, Latin and Cyrillic that look the same; each group's first letter stands for all.
 LOOKALIKES = [
@@ -54,6 +56,11 @@ def _tables() -> tuple[list[tuple], list[tuple]]:
     return down, sorted(up.items())
 
 
+@F.pandas_udf(StringType())
+def _nfc(s: pd.Series) -> pd.Series:
+    return s.map(lambda t: t if t is None else unicodedata.normalize("NFC", t))
+
+
 def one_form(df: DataFrame, text: str) -> DataFrame:
     """Distinct values of ``text`` (nulls left out) with ``canonical`` and ``skeleton``: columns ``_text, canonical, skeleton``.
 
@@ -80,8 +87,12 @@ def one_form(df: DataFrame, text: str) -> DataFrame:
     clusters = clusters.select("h1", "h2", "base", joined("p").alias("p"), joined("s").alias("s"))
     up_s = up_df.select(F.col("cluster").alias("cs"), F.col("composed").alias("ds"))
     recomposed = clusters.join(F.broadcast(up_df), F.col("p") == F.col("cluster"), "left").join(F.broadcast(up_s), F.col("s") == F.col("cs"), "left")
-    rebuilt = recomposed.groupBy("h1", "h2").agg(F.array_sort(F.collect_list(F.struct("base", F.coalesce("composed", "p").alias("p"), F.coalesce("ds", "s").alias("s")))).alias("m"))
-    rebuilt = rebuilt.select("h1", "h2", F.trim(joined("p")).alias("canonical"), F.trim(joined("s")).alias("skeleton"))
+    # a cluster that composes only in part isn't in the table: such texts, and only they, are composed mark by mark
+    odd = ((F.length("p") > 1) & F.col("composed").isNull()) | ((F.length("s") > 1) & F.col("ds").isNull())
+    rebuilt = recomposed.groupBy("h1", "h2").agg(F.max(odd).alias("odd"), F.array_sort(F.collect_list(F.struct("base", F.coalesce("composed", "p").alias("p"), F.coalesce("ds", "s").alias("s")))).alias("m"))
+    rebuilt = rebuilt.select("h1", "h2", "odd", F.trim(joined("p")).alias("canonical"), F.trim(joined("s")).alias("skeleton"))
+    whole = lambda c: F.coalesce(_nfc(F.when(F.col("odd"), F.col(c))), F.col(c)).alias(c)
+    rebuilt = rebuilt.select("h1", "h2", whole("canonical"), whole("skeleton"))
     out = texts.join(rebuilt, ["h1", "h2"], "left")
     return out.select("_text", F.coalesce("canonical", F.lit("")).alias("canonical"), F.coalesce("skeleton", F.lit("")).alias("skeleton"))
 
