@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: A URL that is already written plainly: nothing but scheme, lower-case host, simple path and the choosing parameter.
+_PLAIN = r"^https?://[a-z0-9\-]+(?:\.[a-z0-9\-]+)+(?:/[A-Za-z0-9_\-]+)+(?:\?%s=[A-Za-z0-9_\-]+)?\z"
+
+
 def page_of(url: Column, choosing: str = "part") -> Column:
     """The page a URL leads to, however written: host, decoded path without empty or dot segments, and the
     ``choosing`` parameter. Scheme, default ports, letter case of the host, other parameters, the fragment and blanks
@@ -24,7 +28,9 @@ def page_of(url: Column, choosing: str = "part") -> Column:
     )
     path = F.when(decoded.rlike(r"//|/\.|/$"), F.concat(F.lit("/"), F.array_join(steps, "/"))).otherwise(decoded)
     chosen = F.regexp_extract(u, rf"(?s)^[^#]*[?&;]{choosing}=([^&;#]*)", 1)
-    return F.concat(host, path, F.when(chosen != "", F.concat(F.lit(f"?{choosing}="), chosen)).otherwise(""))
+    full = F.concat(host, path, F.when(chosen != "", F.concat(F.lit(f"?{choosing}="), chosen)).otherwise(""))
+    # most are plain: one cheap test spares them the parsing, with the same result
+    return F.when(url.rlike(_PLAIN % choosing), F.substring_index(url, "://", -1)).otherwise(full)
 
 
 def spelling_of(url: Column) -> Column:
@@ -36,7 +42,8 @@ def spelling_of(url: Column) -> Column:
     total = F.lit(0)
     for i, m in enumerate(marks):
         total = total + F.when(m, 1 << i).otherwise(0)
-    return F.coalesce(total, F.lit(0)).cast("int")
+    plain = url.startswith("https://") & url.rlike(_PLAIN % "part")
+    return F.when(plain, F.lit(0)).otherwise(F.coalesce(total, F.lit(0))).cast("int")
 
 
 def domain_of(url: Column) -> Column:
