@@ -56,10 +56,10 @@ def total_pages(html: Column, per_page: int = 30) -> Column:
     """Pages of a listing: stated by script, else items over page size, else "pages: N", else counted items; null if none."""
     js = lambda name: F.regexp_extract(html, rf"var\s+{name}\s*=\s*['\"](\d+)['\"]\s*;", 1).try_cast("long")
     size = F.greatest(F.lit(1), js("pageSize"))
-    by_items = F.greatest(F.lit(1), F.ceil(js("itemsNum") / size))
+    by_items = F.when(js("itemsNum").isNotNull() & js("pageSize").isNotNull(), F.greatest(F.lit(1), F.ceil(js("itemsNum") / size)))
     said = F.regexp_extract(html, r"(?i)pages:\s*(\d+)", 1).try_cast("long")
-    by_count = F.greatest(F.lit(1), F.ceil(counted(html) / per_page))
-    return F.coalesce(js("maxPages"), F.when(js("pageSize").isNotNull(), by_items), said, by_count)
+    by_count = F.when(counted(html).isNotNull(), F.greatest(F.lit(1), F.ceil(counted(html) / per_page)))
+    return F.coalesce(js("maxPages"), by_items, said, by_count)
 
 
 def pages_source(html: Column) -> Column:

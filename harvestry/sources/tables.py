@@ -22,7 +22,7 @@ def shard_scan(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
 
 def metrics_csv(spark: SparkSession, paths: list[str] | str, schema: str = METRICS) -> DataFrame:
     """Metrics files with a header and a fixed schema; malformed lines are dropped."""
-    return spark.read.schema(schema).option("header", "true").option("mode", "DROPMALFORMED").csv(paths)
+    return spark.read.schema(schema).option("header", "true").csv(paths).where("t_epoch IS NOT NULL AND completed IS NOT NULL")
 
 
 def last_sample(metrics: DataFrame, run: str | None = None) -> DataFrame:
