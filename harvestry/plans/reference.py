@@ -247,7 +247,7 @@ def f09(spark, d):
     return x(spark, d).where(~F.coalesce(F.col("status_code").isin(-3, 404), F.lit(False))).select("row_id")
 
 
-@R.add("p02_defaults", "SELECT row_id, coalesce(retries, 0) AS retries, coalesce(page_number, 0) AS page_number, CAST(CASE WHEN status_code = 200 THEN 1 ELSE 0 END AS INTEGER) AS ok FROM external_pdfs")
+@R.add("column_defaults", "SELECT row_id, coalesce(retries, 0) AS retries, coalesce(page_number, 0) AS page_number, CAST(CASE WHEN status_code = 200 THEN 1 ELSE 0 END AS INTEGER) AS ok FROM external_pdfs")
 def p02(spark, d):
     return x(spark, d).select("row_id", F.coalesce("retries", F.lit(0)).alias("retries"), F.coalesce("page_number", F.lit(0)).alias("page_number"), F.when(F.col("status_code") == 200, 1).otherwise(0).alias("ok"))
 
