@@ -29,6 +29,13 @@ def parse_type_rules(lines: DataFrame, line: str = "value", order: str = "ord")
     return rows.groupBy("token").agg(F.max_by(F.struct("label", "values"), "ord").alias("b"), F.max("ord").alias("ord")).select("token", "b.label", "b.values", "ord")
 
 
+def parse_lint_lines(lines: DataFrame, line: str = "value", order: str = "ord") -> DataFrame:
+    """``line, token, target, marked`` of well-formed rule lines with at least one value."""
+    v = F.regexp_replace(F.trim(F.col(line)), r"^(\[\[[^\]]*\]\] )+", "")
+    shape = r"^([^-]+?)\s*->\s*([^:]+?)\s*:\s*\[(.+)\]$"
+    return lines.where(v.rlike(shape)).select(F.col(order).alias("line"), F.regexp_extract(v, shape, 1).alias("token"), F.regexp_extract(v, shape, 2).alias("target"), F.trim(F.col(line)).startswith("[[").alias("marked"))
+
+
 def match_rules(values: DataFrame, value: str, rules: DataFrame, both_ways: bool, first_wins: bool) -> DataFrame:
     """``value, label`` of distinct values: exact rule, else the longest token contained (or containing, ``both_ways``).
 
