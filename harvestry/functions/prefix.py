@@ -30,25 +30,35 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str, parts:
     )
 
 
-def number_rows(df: DataFrame, key: str, order: str | list[str], block: Column, out: str, weight: str | None = None) -> DataFrame:
-    """Add ``out``: the row's number (from 0) within its key by ``order``, which must be unique within the key; with
-    ``weight``, the sum of the weights of the rows before it instead.
+def blocks_of(df: DataFrame, order: str, blocks: int = 4096) -> Column:
+    """A number of equal ranges of the bigint ``order``, monotone in it; costs one aggregate of its bounds."""
+    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // blocks))
+    return F.floor((F.col(order) - F.lit(lo or 0)) / F.lit(width)).cast("long")
+
+
+def running(df: DataFrame, key: str, order: str | list[str], block: Column, sums: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None) -> DataFrame:
+    """Add running sums and maxima per key in ``order`` (up to and with the row), as a window would, but in pieces.
 
-    ``block`` cuts every key into pieces that are monotone in ``order``. Keys are counted per block, the counts are
-    prefix-summed per key, and rows are numbered inside (key, block) only. Null keys form one key.
+    ``block`` cuts every key into pieces that are monotone in ``order``, which must be unique within the key. States
+    per (key, block) are combined along the blocks, and rows only meet rows of their own block. Null keys form one key.
     """
     order = [order] if isinstance(order, str) else order
-    work = df.withColumn("_block", block)
-    amount = F.coalesce(F.col(weight).cast("long"), F.lit(0).cast("long")) if weight else F.lit(1).cast("long")
-    counts = work.groupBy(key, "_block").agg(F.sum(amount).alias("_n"))
-    offsets = counts.select(
-        F.col(key).alias("_key"), F.col("_block").alias("_b"),
-        (F.sum("_n").over(Window.partitionBy(key).orderBy("_block")) - F.col("_n")).alias("_before"),
-    )
+    amounts = {**{o: F.coalesce(c.cast("long"), F.lit(0).cast("long")) for o, c in (sums or {}).items()}, **(maxima or {})}
+    work = df.withColumn("_block", block).withColumns({f"_v_{o}": c for o, c in amounts.items()})
+    fold = lambda o: F.sum(f"_v_{o}") if o in (sums or {}) else F.max(f"_v_{o}")
+    states = work.groupBy(key, "_block").agg(*[fold(o).alias(f"_v_{o}") for o in amounts])
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = states.select(F.col(key).alias("_key"), F.col("_block").alias("_b"), *[fold(o).over(earlier).alias(f"_p_{o}") for o in amounts])
     inside = Window.partitionBy(key, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = work.withColumn("_local", F.sum(amount).over(inside) - amount)
-    return (
-        local.join(offsets, local[key].eqNullSafe(offsets["_key"]) & local["_block"].eqNullSafe(offsets["_b"]))
-        .withColumn(out, (F.col("_before") + F.col("_local")).cast("long"))
-        .drop("_block", "_local", "_key", "_b", "_before")
-    )
+    local = work.withColumns({f"_l_{o}": fold(o).over(inside) for o in amounts})
+    joined = local.join(before, local[key].eqNullSafe(before["_key"]) & local["_block"].eqNullSafe(before["_b"]))
+    both = lambda o: F.coalesce(f"_p_{o}", F.lit(0).cast("long")) + F.col(f"_l_{o}") if o in (sums or {}) else F.greatest(f"_p_{o}", f"_l_{o}")
+    return joined.select(*df.columns, *[both(o).alias(o) for o in amounts])
+
+
+def number_rows(df: DataFrame, key: str, order: str | list[str], block: Column, out: str, weight: str | None = None) -> DataFrame:
+    """Add ``out``: the row's number (from 0) within its key by ``order``; with ``weight``, the sum of the weights of
+    the rows before it instead. See ``running`` for how keys are cut."""
+    amount = F.coalesce(F.col(weight).cast("long"), F.lit(0).cast("long")) if weight else F.lit(1).cast("long")
+    return running(df, key, order, block, {out: amount}).withColumn(out, (F.col(out) - amount).cast("long"))

@@ -9,12 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harvestry.functions.prefix import blocks_of, running
+
 
 def running_counts(df: DataFrame, run: str, order: str) -> DataFrame:
-    """Completed and failed so far and the failure percent, per run in completion order."""
-    w = Window.partitionBy(run).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    """Completed and failed so far and the failure percent, per run in completion order (``order``: a unique bigint).
+
+    A run may be the whole table: it is cut into blocks, and only their sums are added along the run.
+    """
     failed = F.when(F.col("status_code").eqNullSafe(F.lit(200)), 0).otherwise(1)
-    out = df.withColumn("completed", F.count(F.lit(1)).over(w)).withColumn("failed", F.sum(failed).over(w))
+    out = running(df, run, order, blocks_of(df, order), {"completed": F.lit(1), "failed": failed})
     return out.withColumn("fail_pct", F.col("failed") * 100.0 / F.greatest(F.lit(1), F.col("completed")))
 
 
@@ -59,13 +63,14 @@ def ema(samples: DataFrame, run: str, value: str, order: str, alpha: float = 0.3
 
 
 def timeout_streaks(df: DataFrame, key: str, order: str, code: int = -1) -> DataFrame:
-    """``streak``: how many rows in a row, up to this one, ended with ``code``, per key."""
-    w = Window.partitionBy(key).orderBy(order)
-    island = F.sum(F.when(F.col("status_code").eqNullSafe(F.lit(code)), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marked = df.withColumn("_island", island)
-    inside = Window.partitionBy(key, "_island").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    hit = F.when(F.col("status_code").eqNullSafe(F.lit(code)), 1).otherwise(0)
-    return marked.withColumn("streak", F.sum(hit).over(inside)).drop("_island")
+    """``streak``: how many rows in a row, up to this one, ended with ``code``, per key (``order``: a unique bigint).
+
+    The streak is the row's number less that of the last other row; both run over blocks, so a hot key is split.
+    """
+    hit, block = F.col("status_code").eqNullSafe(F.lit(code)), blocks_of(df, order)
+    numbered = running(df, key, order, block, {"_number": F.lit(1)})
+    out = running(numbered, key, order, block, maxima={"_reset": F.when(~hit, F.col("_number"))})
+    return out.withColumn("streak", F.col("_number") - F.coalesce("_reset", F.lit(0))).drop("_number", "_reset")
 
 
 def stopped_at(streaks: DataFrame, key: str, order: str, threshold: int) -> DataFrame:
@@ -75,9 +80,8 @@ def stopped_at(streaks: DataFrame, key: str, order: str, threshold: int) -> Data
 
 def abort_point(df: DataFrame, key: str, order: str, ratio: float = 0.99, at_least: int = 1000, code: int = 500) -> DataFrame:
     """The first row at which the share of ``code`` exceeds ``ratio`` after ``at_least`` requests, per key."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    n, bad = F.count(F.lit(1)).over(w), F.sum(F.when(F.col("status_code") == code, 1).otherwise(0)).over(w)
-    return df.withColumn("_n", n).withColumn("_b", bad).where((F.col("_n") >= at_least) & (F.col("_b") / F.col("_n") > ratio)).groupBy(key).agg(F.min(order).alias("abort_at"))
+    out = running(df, key, order, blocks_of(df, order), {"_n": F.lit(1), "_b": F.when(F.col("status_code") == code, 1).otherwise(0)})
+    return out.where((F.col("_n") >= at_least) & (F.col("_b") / F.col("_n") > ratio)).groupBy(key).agg(F.min(order).alias("abort_at"))
 
 
 def stage_machine(ticks: DataFrame, key: str, order: str) -> DataFrame:

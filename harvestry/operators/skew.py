@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.functions.prefix import number_rows
+from harvestry.functions.prefix import blocks_of, number_rows
 
 
 def chunked(df: DataFrame, key: str, order: str, chunk_rows: int = 100_000, blocks: int = 4096) -> DataFrame:
@@ -14,9 +14,7 @@ def chunked(df: DataFrame, key: str, order: str, chunk_rows: int = 100_000, bloc
     Rows are counted per key and input block (a range of ``order``, at most ``blocks`` of them), block counts are
     prefix-summed, and rows are numbered inside (key, block); no task sees a whole key. ``order`` is a unique bigint.
     """
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
-    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // blocks))
-    block = F.floor((F.col(order) - F.lit(lo or 0)) / F.lit(width)).cast("long")
+    block = blocks_of(df, order, blocks)
     return number_rows(df, key, order, block, "_number").withColumn("_chunk", F.floor(F.col("_number") / F.lit(chunk_rows)).cast("long"))
 
 

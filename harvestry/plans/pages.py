@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from harvestry.functions import html as H
 from harvestry.functions import text as T
+from harvestry.functions.prefix import blocks_of, running
 from harvestry.operators import runs
 from harvestry.plans.reference import KEY, OK, SRC, parts, samples, x
 from harvestry.plans.registry import Registry, table
@@ -174,10 +175,8 @@ def z03(spark, d):
 @R.add("w12_negative_streaks")
 def w12(spark, d):
     """Ticks of every collection through the stage machine."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("collection_slug").orderBy("row_id").rowsBetween(Window.unboundedPreceding, 0)
     s = F.col("status_code")
-    n = lambda c: F.sum(F.when(c, 1).otherwise(0)).over(w)
-    t = x(spark, d).where("collection_slug IS NOT NULL").select("collection_slug", "row_id", F.count(F.lit(1)).over(w).alias("attempted"), n(s == 200).alias("ok"), n((s < 0) | ((s >= 400) & (s != 404))).alias("failish"))
+    rows = x(spark, d).where("collection_slug IS NOT NULL").select("collection_slug", "row_id", "status_code")
+    bad = F.when((s < 0) | ((s >= 400) & (s != 404)), 1).otherwise(0)
+    t = running(rows, "collection_slug", "row_id", blocks_of(rows, "row_id"), {"attempted": F.lit(1), "ok": F.when(s == 200, 1).otherwise(0), "failish": bad}).drop("status_code")
     return runs.stage_machine(t.where("attempted % 50 = 0"), "collection_slug", "row_id")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions import text as T
+from harvestry.functions.prefix import blocks_of, running
 from harvestry.functions.urls import domain_of, last_segment, page_of
 from harvestry.operators import labels, merge, mining, planning, profiles, runs
 from harvestry.plans.registry import Registry, table
@@ -629,13 +630,10 @@ TICKS = f"(SELECT CAST({SRC} AS INTEGER) AS run, row_id, status_code FROM extern
 
 @R.add("z04_stage_machine")
 def z04(spark, d):
-    w = runs.running_counts(run_rows(spark, d), "run", "row_id")
-    from pyspark.sql import Window
-
-    o = Window.partitionBy("run").orderBy("row_id").rowsBetween(Window.unboundedPreceding, 0)
     s = F.col("status_code")
-    failish = F.sum(F.when((s < 0) | ((s >= 400) & (s != 404)), 1).otherwise(0)).over(o)
-    ticks = w.withColumn("failish", failish).withColumn("ok", F.sum(F.when(s == 200, 1).otherwise(0)).over(o)).where("completed % 250 = 0")
+    rows = runs.running_counts(run_rows(spark, d), "run", "row_id")
+    bad = F.when((s < 0) | ((s >= 400) & (s != 404)), 1).otherwise(0)
+    ticks = running(rows, "run", "row_id", blocks_of(rows, "row_id"), {"failish": bad, "ok": F.when(s == 200, 1).otherwise(0)}).where("completed % 250 = 0")
     return runs.stage_machine(ticks.select("run", "completed", F.col("completed").alias("attempted"), "ok", "failish"), "run", "completed")
 
 
