@@ -16,6 +16,8 @@ MONTHS = ["ιαν", "φεβ", "μαρ", "απρ", "μαι", "ιουν", "ιου
 BLANKS = " \t\n\r\u00a0\u2007\u202f\u2009\u3000"
 YES, NO = ["ναι", "nai", "yes", "true", "1"], ["οχι", "oxi", "ochi", "no", "false", "0"]
 TYPES = ["boolean", "date", "bytes", "minutes", "scale", "decimal", "count", "string"]
+#: The texts of over 60 characters that some reading takes; all others are text, whatever they hold.
+LONG_READABLE = r"^(?:\d{4}-\d{2}-\d{2}T.*|-?\d+[.,]\d+|1 ?[:/] ?\d+|\d+:\d{2}:\d{2}|PT\d+M)$"
 KIND_SQL = {"boolean": "boolean", "date": "date", "bytes": "bigint", "minutes": "double", "scale": "bigint", "decimal": "double", "count": "bigint", "string": "string"}
 
 
@@ -57,7 +59,7 @@ def _staged(df: DataFrame) -> DataFrame:
     df = df.withColumn("_t", t).withColumn("_low", F.when(F.length("_t") <= 40, F.lower("_t")))
     df = df.withColumn("_t", F.when(F.col("_low").isNull() | ~F.col("_low").isin([x.lower() for x in NOTHING]), F.col("_t")))
     df = df.withColumn("_plain", F.translate("_low", "άέήίόύώϊ", "αεηιουωι"))
-    maybe = F.col("_low").rlike(r"\d") | F.col("_plain").isin(*YES, *NO)
+    maybe = F.col("_t").rlike(r"\d") | F.coalesce(F.col("_plain").isin(*YES, *NO), F.lit(False))
     return df.withColumn("_typed", F.coalesce(maybe & F.col("_t").isNotNull(), F.lit(False)))
 
 
@@ -97,40 +99,43 @@ def _readings() -> dict[str, Column]:
 
 
 def discover_attributes(eav: DataFrame, share: float = 0.8) -> DataFrame:
-    """``name, n_records, n_values, kind``: every attribute with its type, found over all rows.
+    """``name, n_records, n_values, kind, n_unread``: every attribute with its type, found over all rows.
 
     The type is the first of TYPES that at least ``share`` of the values saying something read as; a plain number
-    in a column of sizes counts as bytes. Names without any such value are strings.
+    in a column of sizes counts as bytes. Names without any such value are strings. ``n_unread`` counts the values
+    that don't read as the type (those saying nothing among them); ``wide_records`` keeps them as text.
     """
     kinds = _readings()
-    short = F.when(F.length("_value") <= 60, F.col("_value")).otherwise(F.lit("long text"))
+    short = F.when((F.length("_value") <= 60) | F.col("_value").rlike(LONG_READABLE), F.col("_value")).otherwise(F.lit("long text"))
     seen = eav.where(F.col("_name").isNotNull()).groupBy("_name", short.alias("_value")).agg(F.sum(F.col("_first").cast("long")).alias("f"), F.count(F.lit(1)).alias("n"))
     flags = [F.when(F.col("_typed") & r.isNotNull(), F.col("n")).otherwise(F.lit(0)).alias(k) for k, r in kinds.items()]
     rows = _staged(seen).select("_name", "f", "n", F.when(F.col("_t").isNotNull(), F.col("n")).otherwise(F.lit(0)).alias("string"), *flags)
     sums = rows.groupBy(F.col("_name").alias("name")).agg(F.sum("f").alias("n_records"), F.sum("n").alias("n_values"), *[F.sum(k).alias(k) for k in TYPES])
     enough = F.col("string") * share
-    kind = F.lit("string")
+    kind, read = F.lit("string"), F.col("n_values")
     for k in reversed(TYPES[:-1]):
         got = F.col("bytes") + F.col("count") if k == "bytes" else F.col("minutes") + F.col("count") if k == "minutes" else F.col(k)
         need = (F.col("string") > 0) & (got >= enough) & (F.col(k) * 4 >= F.col("string"))
-        kind = F.when(need, F.lit(k)).otherwise(kind)
-    return sums.select("name", "n_records", "n_values", kind.alias("kind"))
+        kind, read = F.when(need, F.lit(k)).otherwise(kind), F.when(need, got).otherwise(read)
+    return sums.select("name", "n_records", "n_values", kind.alias("kind"), (F.col("n_values") - read).alias("n_unread"))
 
 
 def wide_records(df: DataFrame, record_id: str, text: str, stated: str | None = None, max_columns: int = 500) -> DataFrame:
-    """One row per record of ``df`` with a typed column per attribute, ``n_fields``, ``n_stated`` and ``count_matches``.
+    """One row per record of ``df`` with a typed column per attribute, ``n_fields``, ``n_stated``, ``count_matches`` and ``unread_fields``.
 
     The attribute list and types are discovered first; then one conditional aggregation per attribute fills the
-    columns. Of a name that a record holds more than once, the last entry with a value wins. Attributes beyond the
-    ``max_columns`` most frequent ones go to the map ``other_fields``, so nothing is lost. A column that would clash
-    with another (or differ only in case) gets a number. Null, broken or non-object text gives a row of nulls with
-    ``n_fields`` 0; an empty table gives no rows.
+    columns. Of a name that a record holds more than once, the last entry that reads as the attribute's type wins.
+    Values that don't read so are kept as they were written, all of them and in order, in the map ``unread_fields``
+    (name to texts; ``discover_attributes`` counts them per attribute). Attributes beyond the ``max_columns`` most
+    frequent ones go to the map ``other_fields``. So every name that ``n_fields`` counts has a value in its column or in
+    one of the maps. A column that would clash with another (or differ only in case) gets a number. Null, broken or
+    non-object text gives a row of nulls with ``n_fields`` 0; an empty table gives no rows.
     """
     base = df.select(record_id, text, *([stated] if stated else []))
     eav = explode_fields(base, text)
     listed = discover_attributes(eav).orderBy(F.desc("n_records"), "name").limit(max_columns + 1).collect()  # bounded by max_columns
     extra, listed = len(listed) > max_columns, listed[:max_columns]
-    taken = {c.lower() for c in (record_id, "n_fields", "n_stated", "count_matches", "other_fields")}
+    taken = {c.lower() for c in (record_id, "n_fields", "n_stated", "count_matches", "unread_fields", "other_fields")}
     labels = []
     for a in listed:
         label, k = a["name"], 2
@@ -145,12 +150,15 @@ def wide_records(df: DataFrame, record_id: str, text: str, stated: str | None =
     known = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair]) if kinds else F.create_map().cast("map<string,string>")
     eav = _staged(eav).withColumn("_kind", F.coalesce(F.try_element_at(known, F.col("_name")), F.lit("string")))
     yes, day = F.when(F.col("_kind") == "boolean", r["boolean"]), F.when(F.col("_kind") == "date", r["date"])
-    eav = eav.select("_rid", record_id, *([stated] if stated else []), "_pos", "_name", "_value", "_first", whole.alias("_long"), real.alias("_double"), yes.alias("_bool"), day.alias("_date"))
+    eav = eav.select("_rid", record_id, *([stated] if stated else []), "_pos", "_name", "_value", "_first", "_kind", whole.alias("_long"), real.alias("_double"), yes.alias("_bool"), day.alias("_date"))
+    reads = (F.col("_kind") == "string") | F.col("_long").isNotNull() | F.col("_double").isNotNull() | F.col("_bool").isNotNull() | F.col("_date").isNotNull()
+    eav = eav.withColumn("_pick", F.when(reads, F.col("_name")))
     source = {"bigint": "_long", "double": "_double", "boolean": "_bool", "date": "_date", "string": "_value"}
-    picks = [F.max_by(F.col(source[KIND_SQL[a["kind"]]]), F.when(F.col("_name") == F.lit(a["name"]), F.col("_pos"))) for a in listed]
+    picks = [F.max_by(F.col(source[KIND_SQL[a["kind"]]]), F.when(F.col("_pick") == F.lit(a["name"]), F.col("_pos"))) for a in listed]
     aggs = [F.first(record_id).alias("_id"), F.sum(F.coalesce(F.col("_first").cast("long"), F.lit(0))).alias("n_fields")]
     aggs += [F.first(stated).alias("_stated")] if stated else []
     aggs += [own.alias(f"_a{i}") for i, own in enumerate(picks)]
+    aggs.append(F.collect_list(F.when(F.col("_name").isNotNull() & F.col("_pick").isNull(), F.struct("_pos", "_name", "_value"))).alias("_unread"))
     if extra:
         names = [a["name"] for a in listed]
         aggs.append(F.collect_list(F.when(F.col("_name").isNotNull() & ~F.col("_name").isin(names), F.struct("_name", "_pos", "_value"))).alias("_rest"))
@@ -159,6 +167,9 @@ def wide_records(df: DataFrame, record_id: str, text: str, stated: str | None =
     out = [F.col("_id").alias(record_id), "n_fields"]
     if stated:
         out += [F.col("_stated").alias("n_stated"), F.coalesce(F.col("_stated") == F.col("n_fields"), F.lit(False)).alias("count_matches")]
+    names = F.array_distinct(F.transform("_unread", lambda e: e["_name"]))
+    texts = lambda n: F.transform(F.filter(F.array_sort("_unread"), lambda e: e["_name"] == n), lambda e: e["_value"])
+    out.append(F.map_from_arrays(names, F.transform(names, texts)).alias("unread_fields"))
     if extra:
         last = F.filter("_rest", lambda e: ~F.exists("_rest", lambda o: (o["_name"] == e["_name"]) & (o["_pos"] > e["_pos"])))
         out.append(F.map_from_entries(F.transform(last, lambda e: F.struct(e["_name"].alias("key"), e["_value"].alias("value")))).alias("other_fields"))

@@ -52,3 +52,21 @@ def test_long_text_and_empty_table(spark):
     assert len(wide_records(df, "id", "j", "n").first()["a"]) == 200_000
     assert wide_records(df.limit(0), "id", "j", "n").count() == 0
     assert discover_attributes(explode_fields(df.limit(0), "j")).count() == 0
+
+
+def test_values_that_do_not_read_are_kept(spark):
+    rows = [(i, json.dumps({"Έτος": str(1950 + i), "Βάρος": "2,5"}), 2) for i in range(20)]
+    rows += [
+        (20, '{"Έτος":"[2016]"}', 1), (21, '{"Έτος":"1999","Έτος":" c1968"}', 2), (22, '{"Έτος":"1951?","Έτος":"n.d.","Βάρος":"n/a"}', 3),
+        (23, json.dumps({"Έτος": "2001-02-03T" + "0" * 60}), 1), (24, '{"Έτος":"1990","Έτος":"x","Έτος":"1991"}', 3),
+    ]
+    df = spark.createDataFrame(rows, "id bigint, j string, n bigint")
+    by = {r["id"]: r for r in wide_records(df, "id", "j", "n").collect()}
+    assert by[0]["unread_fields"] == {} and str(by[0]["Έτος"]) == "1950-01-01"
+    assert by[20]["Έτος"] is None and by[20]["unread_fields"] == {"Έτος": ["[2016]"]}
+    assert str(by[21]["Έτος"]) == "1999-01-01" and by[21]["unread_fields"] == {"Έτος": [" c1968"]}
+    assert by[22]["unread_fields"] == {"Έτος": ["1951?", "n.d."], "Βάρος": ["n/a"]} and by[22]["n_fields"] == 2
+    assert str(by[23]["Έτος"]) == "2001-02-03" and by[23]["unread_fields"] == {}
+    assert str(by[24]["Έτος"]) == "1991-01-01" and by[24]["unread_fields"] == {"Έτος": ["x"]}
+    told = {r["name"]: r["n_unread"] for r in discover_attributes(explode_fields(df, "j")).collect()}
+    assert told == {"Έτος": 5, "Βάρος": 1}
