@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 WINDOW, ERRORS, SEED = 16, 2, 5
 #: Words of one shard's index, and items searched at a time; more are searched in further rounds.
 SHARD_WORDS, ITEM_BLOCK = 1_000_000, 20_000
+#: Raw words that a partition remembers, to fold each of them once.
+KNOWN_WORDS = 500_000
 _L = r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*"
 _JOIN = r"(?:[|·­​-‍⁠﻿]+|[-‐]\s*\n[>\s]*|</?(?:b|i|em|strong|span|u|mark|sub|sup|font)\b[^<>]*>)"
 _WORD = re.compile(rf"<[A-Za-z/!][^<>\n]*>|&(?:#\d+|[a-z]+);|({_L}(?:{_JOIN}{_L})*)")
@@ -234,8 +236,9 @@ def scan(batches: Iterator[pd.DataFrame], items: Items) -> Iterator[pd.DataFrame
 
     class Numbers(dict):
         def __missing__(self, raw: str) -> int:
-            if len(self) > 500_000:  # words seen so far, kept to fold each of them once
+            if len(self) > KNOWN_WORDS:
                 self.clear()
+                self[""] = -1
             self[raw] = v = vocabulary.get(fold(raw), 0)
             return v
 
@@ -249,8 +252,6 @@ def scan(batches: Iterator[pd.DataFrame], items: Items) -> Iterator[pd.DataFrame
                 continue
             ids = np.fromiter(map(known.__getitem__, _WORD.findall(text)), np.int64)
             ids = ids[ids >= 0]
-            if len(known) == 0 or known.get("") != -1:
-                known[""] = -1
             shard.append((doc_id, ids, text))
             size += len(ids) + 1
             if size >= SHARD_WORDS:

@@ -60,6 +60,13 @@ def test_short_passages_many_items_and_small_shards(monkeypatch):
     assert got == {(0, 2), (2, 2), (1, 1), (3, 1), (1, 5), (3, 5)}
 
 
+def test_markup_stays_markup_when_the_cache_is_emptied(monkeypatch):
+    text = "πριν " + " ".join(f"<p>{w}</p>" for w in WORDS) + " μετά"
+    want = found(text)[1].values.tolist()
+    monkeypatch.setattr(leaks, "KNOWN_WORDS", 4)
+    assert found(text)[1].values.tolist() == want and len(want) == 1
+
+
 def test_long_text():
     got, _ = found("λέξη " * 50_000 + PASSAGE + " λέξη" * 50_000)
     assert got == {(0, 1)}
