@@ -84,6 +84,14 @@ def abort_point(df: DataFrame, key: str, order: str, ratio: float = 0.99, at_lea
     return out.where((F.col("_n") >= at_least) & (F.col("_b") / F.col("_n") > ratio)).groupBy(key).agg(F.min(order).alias("abort_at"))
 
 
+def ticks(counts: DataFrame, key: str, number: str, every: int) -> DataFrame:
+    """The rows of each key whose ``number`` (1, 2, ... within the key) is a multiple of ``every``, and the key's last
+    row, so that neither a key with fewer rows nor the tail is lost."""
+    rest = [c for c in counts.columns if c != key]
+    tick = F.floor((F.col(number) - 1) / every).alias("_tick")
+    return counts.groupBy(key, tick).agg(F.max_by(F.struct(*rest), number).alias("_row")).select(key, "_row.*")
+
+
 def stage_machine(ticks: DataFrame, key: str, order: str) -> DataFrame:
     """Back-off stages per worker over its ticks ``(attempted, ok, failish)``, cumulative: one transition per tick at most.
 

@@ -173,10 +173,10 @@ def z03(spark, d):
 
 
 @R.add("w12_negative_streaks")
-def w12(spark, d):
-    """Ticks of every collection through the stage machine."""
+def w12(spark, d, every: int = 50):
+    """Ticks of every collection, at each ``every``-th row and at its last, through the stage machine."""
     s = F.col("status_code")
     rows = x(spark, d).where("collection_slug IS NOT NULL").select("collection_slug", "row_id", "status_code")
     bad = F.when((s < 0) | ((s >= 400) & (s != 404)), 1).otherwise(0)
     t = running(rows, "collection_slug", "row_id", blocks_of(rows, "row_id"), {"attempted": F.lit(1), "ok": F.when(s == 200, 1).otherwise(0), "failish": bad}).drop("status_code")
-    return runs.stage_machine(t.where("attempted % 50 = 0"), "collection_slug", "row_id")
+    return runs.stage_machine(runs.ticks(t, "collection_slug", "attempted", every), "collection_slug", "row_id")

@@ -629,12 +629,14 @@ TICKS = f"(SELECT CAST({SRC} AS INTEGER) AS run, row_id, status_code FROM extern
 
 
 @R.add("z04_stage_machine")
-def z04(spark, d):
+def z04(spark, d, every: int = 250):
+    """Ticks of every run, at each ``every``-th completion and at its last, through the stage machine."""
     s = F.col("status_code")
     rows = runs.running_counts(run_rows(spark, d), "run", "row_id")
     bad = F.when((s < 0) | ((s >= 400) & (s != 404)), 1).otherwise(0)
-    ticks = running(rows, "run", "row_id", blocks_of(rows, "row_id"), {"failish": bad, "ok": F.when(s == 200, 1).otherwise(0)}).where("completed % 250 = 0")
-    return runs.stage_machine(ticks.select("run", "completed", F.col("completed").alias("attempted"), "ok", "failish"), "run", "completed")
+    ticks = running(rows, "run", "row_id", blocks_of(rows, "row_id"), {"failish": bad, "ok": F.when(s == 200, 1).otherwise(0)})
+    ticks = runs.ticks(ticks.select("run", "completed", F.col("completed").alias("attempted"), "ok", "failish"), "run", "completed", every)
+    return runs.stage_machine(ticks, "run", "completed")
 
 
 @R.add("z08_waves", "SELECT collection_slug, CAST(floor((row_number() OVER (ORDER BY n DESC, collection_slug) - 1) / 10) AS BIGINT) AS wave FROM (SELECT collection_slug, count(*) AS n FROM edm_labeled WHERE collection_slug IS NOT NULL GROUP BY 1)")

@@ -108,6 +108,20 @@ def test_stage_machine_moves_once_per_tick(spark):
     assert out[-1]["dropped"] and not out[0]["lowered"]
 
 
+def test_ticks_lose_no_key_and_no_tail(spark):
+    rows = [(k, i, i * 10) for k, n in (("a", 7), ("b", 1), ("c", 6)) for i in range(1, n + 1)]
+    out = runs.ticks(spark.createDataFrame(rows, "k string, n bigint, v bigint"), "k", "n", 3).collect()
+    assert sorted(map(tuple, out)) == [("a", 3, 30), ("a", 6, 60), ("a", 7, 70), ("b", 1, 10), ("c", 3, 30), ("c", 6, 60)]
+
+
+def test_every_collection_reaches_the_stage_machine(spark, small):
+    from harvestry.plans.pages import w12
+    from harvestry.plans.reference import x
+
+    rows = x(spark, small).where("collection_slug IS NOT NULL")
+    assert {r[0] for r in w12(spark, small).select("collection_slug").collect()} == {r[0] for r in rows.select("collection_slug").distinct().collect()}
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame([("ΤΕΎΧΟΣ ", "Abc, 1", "var maxPages = '7';"), (None, "", "x = 1; var itemsNum='61'; var pageSize='30';"), ("Ά", "Abc é", "pages: 4"), ("é", "123", "1.234 τεκμήρια"), ("x", "ΑΒ", "none")], "a string, b string, c string")
     r = df.select(T.normalized("a").alias("a"), T.all_english(F.col("b")).alias("b"), T.total_pages(F.col("c")).alias("c"), T.pages_source(F.col("c")).alias("d")).collect()
