@@ -207,7 +207,10 @@ _LATIN_GIVEN = {"f": "Anna Clara Emma Irene Julia Marina Sofia Stella".split(),
 
 
 def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
-    """A keyed replacement of the same kind, script, gender, case and format; equal entities get equal ones."""
+    """A keyed replacement of the same kind, script, gender, case and format; equal entities get equal ones.
+
+    Made-up words grow with each ``attempt``, so there is no end of them; numbers keep their length.
+    """
     normal = normal_form(kind, value)
     n = int.from_bytes(hmac.new(key, f"{kind}\x00{normal}\x00{attempt}".encode(), hashlib.blake2b).digest()[:16], "big")
     greek = bool(re.search("[Α-Ωα-ωΆ-ώ]", value))
@@ -226,7 +229,7 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
         gender = "f" if latin(given) in FEMALE or (not given and greek and not value.rstrip().endswith("ς")) else "m"
         first = (_GREEK_GIVEN if greek else _LATIN_GIVEN)[gender]
         first = first[draw(len(first))]
-        family = word(4) + ({"f": "ίδου", "m": "ίδης"}[gender] if greek else "")
+        family = word(4 + attempt) + ({"f": "ίδου", "m": "ίδης"}[gender] if greek else "")
         if not given:
             out = f"{first[0]}. {family}"
         elif "," in value:
@@ -237,11 +240,11 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
             out = f"{family.upper()} {first}"
         return out.upper() if value.isupper() and given else out
     if kind == "email":
-        user = "".join("bcdfghjklmnprstvz"[draw(17)] + "aeiou"[draw(5)] for _ in range(5))
+        user = "".join("bcdfghjklmnprstvz"[draw(17)] + "aeiou"[draw(5)] for _ in range(5 + attempt))
         return f"{user}@mail.example"
     if kind == "street_address":
         number = re.search(r"\d+", value)
-        name = word(4)
+        name = word(4 + attempt)
         fresh = str(1 + draw(180))
         return (f"οδός {name} {fresh}" if greek else f"{name} Street {fresh}" if number and number.start() > 3 else f"{fresh} {name} Street")
     digits = iter("".join(str(draw(10)) for _ in range(24)))
@@ -285,16 +288,16 @@ def entity_lines(docs: DataFrame, **names: str) -> DataFrame:
     return find_entities(docs, **names).select("doc_id", "line_no", "kind").distinct()
 
 
-#: Retries of colliding surrogates that may be sent to all executors at once; beyond it only a longer key helps.
-MAX_COLLISIONS = 200_000
+#: Colliding entities drawn again in one round, entities drawn again at all (these are sent to all executors), and draws of one entity.
+MAX_COLLISIONS, MAX_REDRAWN, MAX_DRAWS = 200_000, 1_600_000, 32
 
 
 def redact(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``text`` replaced: every entity by ``[KIND surrogate]``, all else unchanged; and ``n_entities``.
 
     Surrogates are keyed: mentions of one entity agree over the whole corpus. Entities whose surrogates collide are
-    found over all documents first and drawn again until all are distinct, so different entities stay different.
-    Null text stays null.
+    found over all documents first and drawn again until all are distinct, so different entities stay different; where
+    that takes more than MAX_DRAWS draws of an entity or MAX_REDRAWN entities, a ValueError is raised. Null text stays null.
     """
     spark = docs.sparkSession
     found = find_entities(docs, doc_id, text)
@@ -308,7 +311,7 @@ def redact(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "tex
 
         return found.groupBy("kind", "value").agg(F.lit(1).alias("_1")).withColumn("r", run("kind", "value")).select("kind", "r.normal", "r.s")
 
-    for _ in range(8):
+    while True:
         sent = spark.sparkContext.broadcast(dict(tried))
         # equal entities have several spellings; each keeps its own format, so only other entities count as collisions
         met = label(sent).distinct().groupBy("kind", "s").agg(F.count_distinct("normal").alias("n"), F.min("normal").alias("keep"), F.collect_set("normal").alias("all")).where("n > 1")
@@ -316,7 +319,9 @@ def redact(docs: DataFrame, key: bytes, doc_id: str = "doc_id", text: str = "tex
         if not again:
             break
         for r in again:
-            tried[r["kind"], r["normal"]] = tried.get((r["kind"], r["normal"]), 0) + 1
+            tried[r["kind"], r["normal"]] = n = tried.get((r["kind"], r["normal"]), 0) + 1
+            if n > MAX_DRAWS or len(tried) > MAX_REDRAWN:
+                raise ValueError(f"surrogates of kind {r['kind']} still collide after {n} draws, {len(tried)} entities drawn again")
     sent = spark.sparkContext.broadcast(dict(tried))
 
     @F.pandas_udf("struct<text:string,n:bigint>")

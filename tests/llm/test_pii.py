@@ -1,5 +1,8 @@
+import re
+
 import pytest
 
+from harvestry.llm import pii
 from harvestry.llm.pii import entities, entity_lines, find_entities, is_phone, normal_form, redact, surrogate
 
 FOUND = {
@@ -57,3 +60,18 @@ def test_redact_changes_nothing_else(spark):
     name, phone = surrogate("person_name", "Ζωή Τριχοβελόνη", b"k"), surrogate("phone", "210 0007288", b"k")
     assert out[1]["text"] == f"Γράψτε: [PERSON_NAME {name}], [PHONE {phone}].\r\nΤέλος — [PERSON_NAME {name}]"
     assert out[2]["text"] is None and out[3]["text"] == "τίποτε" and out[1]["n_entities"] == 8 and out[1]["n_entities_"] == 3
+
+
+def test_redraws_until_all_are_distinct_or_raises(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "Edgar Brackenlode\nEdgar Hollindrake\nEdgar Saltmarsh")], "doc_id bigint, text string")
+    real = pii.surrogate
+
+    def narrow(kind, value, key, attempt=0):
+        return "Adam Same" if attempt < 10 else real(kind, value, key, attempt)
+
+    monkeypatch.setattr(pii, "surrogate", narrow)
+    names = re.findall(r"\[PERSON_NAME (.*?)\]", redact(docs, b"k").first()["text"])
+    assert len(names) == 3 == len(set(names))
+    monkeypatch.setattr(pii, "MAX_DRAWS", 2)
+    with pytest.raises(ValueError, match="still collide"):
+        redact(docs, b"k")
