@@ -117,8 +117,9 @@ def fuse_pages(df: DataFrame, rounds: int = 2) -> DataFrame:
     * ``retries``: the counter only rises, so a claim above the truth has likelihood 0: the greatest claim among the
       rows of the fused outcome (answered or not). Null counts as 0.
     * ``spelling`` / ``url_row_id``: the way of writing the URL with most discounted votes, and the last row that uses it.
-    * ``row_id``: the row to keep: of the rows that agree with the fused outcome, the one with the fused ``retries``,
-      the last to arrive. This is the merge order (200 first, then more retries, then later).
+    * ``row_id``: the row to keep, decided by the merge order alone (200 first, then more retries, then later); votes,
+      accuracies and copying don't change it. It agrees with the fused outcome in being answered or not; on a page
+      without a 200 its own status code may differ from the fused ``status_code``.
 
     Null slug, page and URL equal each other; repeated rows count as one vote of their source but in ``n_rows``; an
     empty table gives no rows; further columns are ignored.

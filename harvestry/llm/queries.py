@@ -17,7 +17,7 @@ R = Registry()
 
 @R.add("p1_found")
 def p1_found(spark, d):
-    return fuse_pages(table(spark, d, "external_pdfs")).where((F.col("n_rows") > 1) & (F.col("confidence") > 0)).select("row_id")
+    return fuse_pages(table(spark, d, "external_pdfs")).where("n_rows > 1").select("row_id")
 
 
 @R.add("p1_fused")
