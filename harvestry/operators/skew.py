@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.functions.prefix import blocks_of, number_rows
+from harvestry.functions.prefix import blocked, number_rows
+from harvestry.session import fresh, stored
 
 
-def chunked(df: DataFrame, key: str, order: str, chunk_rows: int = 100_000, blocks: int = 4096) -> DataFrame:
-    """Adds ``_number`` (row number within the key by ``order``) and ``_chunk``: pieces of exactly ``chunk_rows`` rows.
+def chunked(df: DataFrame, key: str, order: str, chunk_rows: int = 100_000, rows_per_block: int = 0) -> tuple[DataFrame, str, str]:
+    """(``df`` with row number and chunk, their column names): pieces of exactly ``chunk_rows`` rows of each key by ``order``.
 
-    Rows are counted per key and input block (a range of ``order``, at most ``blocks`` of them), block counts are
-    prefix-summed, and rows are numbered inside (key, block); no task sees a whole key. ``order`` is a unique bigint.
+    The table is frozen in input partitions of about equal row counts (``blocked``: ranges of the unique ``order`` cut
+    at sampled quantiles, however its values lie), keys are counted per partition, the counts are prefix-summed to
+    offsets, and rows are numbered inside (key, partition). No task sees a whole key, whatever its share of the rows.
     """
-    block = blocks_of(df, order, blocks)
-    return number_rows(df, key, order, block, "_number").withColumn("_chunk", F.floor(F.col("_number") / F.lit(chunk_rows)).cast("long"))
+    frozen, block = blocked(df, order, rows_per_block)
+    number, chunk = fresh(frozen.columns, "_number", "_chunk")
+    out = number_rows(frozen, key, order, block, number).withColumn(chunk, F.floor(F.col(number) / F.lit(chunk_rows)).cast("long"))
+    return out.drop(block), number, chunk
 
 
 def collection_results(rows: DataFrame, claims: DataFrame, top_n: int = 5, chunk_rows: int = 100_000) -> DataFrame:
@@ -25,10 +29,11 @@ def collection_results(rows: DataFrame, claims: DataFrame, top_n: int = 5, chunk
     switches inside); chunk states are merged in chunk order, adding a switch where two neighbours meet in different
     languages. ``claims`` may list a collection many times: its largest ``item_count`` is the claim. Null collections
     form one row with null slug; collections that only claim items come out with 0 rows; null types count as ``NA``.
-    Types with equal counts are ordered by name.
+    Types with equal counts are ordered by name. The numbered chunks are stored once and read by each aggregate.
     """
     base = rows.select("row_id", "collection_slug", F.coalesce("language_code", F.lit("")).alias("language"), F.coalesce("type", F.lit("NA")).alias("type"), "edm_url")
-    pieces = chunked(base, "collection_slug", "row_id", chunk_rows)
+    pieces, number, chunk = chunked(base.drop("edm_url"), "collection_slug", "row_id", chunk_rows)
+    pieces, _ = stored(pieces.select("collection_slug", F.col(chunk).alias("_chunk"), F.col(number).alias("_number"), "language", "type"), "chunks")
     slug = "collection_slug"
     # counts: pre-aggregated per chunk, merged per key
     per_chunk = pieces.groupBy(slug, "_chunk", "language", "type").agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from harvestry.functions import html as H
 from harvestry.functions import text as T
-from harvestry.functions.prefix import blocks_of, running
 from harvestry.operators import runs
 from harvestry.plans.reference import KEY, OK, SRC, parts, samples, x
 from harvestry.plans.registry import Registry, table
@@ -175,8 +174,7 @@ def z03(spark, d):
 @R.add("w12_negative_streaks")
 def w12(spark, d, every: int = 50):
     """Ticks of every collection, at each ``every``-th row and at its last, through the stage machine."""
-    s = F.col("status_code")
-    rows = x(spark, d).where("collection_slug IS NOT NULL").select("collection_slug", "row_id", "status_code")
-    bad = F.when((s < 0) | ((s >= 400) & (s != 404)), 1).otherwise(0)
-    t = running(rows, "collection_slug", "row_id", blocks_of(rows, "row_id"), {"attempted": F.lit(1), "ok": F.when(s == 200, 1).otherwise(0), "failish": bad}).drop("status_code")
-    return runs.stage_machine(runs.ticks(t, "collection_slug", "attempted", every), "collection_slug", "row_id")
+    rows = x(spark, d).where("collection_slug IS NOT NULL").select("collection_slug", "row_id", "status_code", "external_link")
+    t = runs.running_counts(runs.unique_counts(rows, "collection_slug", "external_link", "row_id"), "collection_slug", "row_id")
+    ticks = runs.ticks(t.select("collection_slug", "row_id", "completed", "attempted", "ok", "failish"), "collection_slug", "completed", every)
+    return runs.stage_machine(ticks, "collection_slug", "row_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harvestry.operators.compaction import compact, plan_groups
-from harvestry.operators.pivoting import discover_attributes, explode_fields, wide_records
+from harvestry.operators.pivoting import discover_attributes, explode_fields, field_counts, fields_of, wide_records
 from harvestry.operators.skew import collection_results
 from harvestry.plans.registry import Registry, table
 
@@ -38,9 +38,21 @@ def p3_plan(spark, d):
     return plan_groups(table(spark, d, "shard_manifest"), TARGET)
 
 
-@R.add("p5_found")
+#: Records with their number of valued names, by the database's own JSON functions.
+_FIELDS = """(SELECT m.meta_id, m.metadata_num_fields, coalesce(n, 0) AS n FROM edm_metadata_full m LEFT JOIN
+ (SELECT t.meta_id, count(DISTINCT e.key) AS n FROM (SELECT meta_id, metadata_json FROM edm_metadata_full WHERE CASE WHEN json_valid(metadata_json) THEN json_type(metadata_json) = 'OBJECT' ELSE false END) t, json_each(t.metadata_json) e
+  WHERE e.type <> 'NULL' AND (e.type <> 'VARCHAR' OR regexp_matches(json_extract_string(e.value, '$'), '[^\\s\\p{Z}\\x{85}\\x{1c}-\\x{1f}\\x{b}]')) GROUP BY 1) f USING (meta_id))"""
+
+
+@R.add("p5_found", f"SELECT meta_id FROM {_FIELDS} WHERE metadata_num_fields IS NULL OR metadata_num_fields <> n")
 def p5_found(spark, d):
-    return wide_records(table(spark, d, "edm_metadata_full"), "meta_id", "metadata_json", "metadata_num_fields").where(~F.col("count_matches")).select("meta_id")
+    return field_counts(table(spark, d, "edm_metadata_full"), "meta_id", "metadata_json", "metadata_num_fields").where(~F.col("count_matches")).select("meta_id")
+
+
+@R.add("p5_counts", f"SELECT meta_id, n AS n_fields, metadata_num_fields AS n_stated, coalesce(metadata_num_fields = n, false) AS count_matches FROM {_FIELDS}")
+def p5_counts(spark, d):
+    """The wide records' counts, with every column of theirs."""
+    return wide_records(table(spark, d, "edm_metadata_full"), "meta_id", "metadata_json", "metadata_num_fields").select("meta_id", "n_fields", "n_stated", "count_matches")
 
 
 @R.add("p5_wide")
@@ -50,7 +62,7 @@ def p5_wide(spark, d):
 
 @R.add("p5_attributes")
 def p5_attributes(spark, d):
-    return discover_attributes(explode_fields(table(spark, d, "edm_metadata_full").select("meta_id", "metadata_json"), "metadata_json"))
+    return discover_attributes(explode_fields(fields_of(table(spark, d, "edm_metadata_full").select("meta_id", "metadata_json"), "metadata_json")))
 
 
 @R.add("p6_collections", """

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions import text as T
-from harvestry.functions.prefix import blocks_of, running
 from harvestry.functions.urls import domain_of, last_segment, page_of
 from harvestry.operators import labels, merge, mining, planning, profiles, runs
 from harvestry.plans.registry import Registry, table
@@ -536,9 +535,9 @@ SAMPLES = f"(SELECT * FROM {RUN} WHERE completed % 100 = 0)"
 DELTAS = f"(SELECT *, fail_pct - lag(fail_pct, 1, 0.0) OVER q AS delta_fail_pct, (fail_pct - lag(fail_pct, 1, 0.0) OVER q) / greatest(1, completed - lag(completed, 1, 0) OVER q) AS derivative FROM {SAMPLES} WINDOW q AS (PARTITION BY run ORDER BY completed))"
 
 
-def run_rows(spark, d) -> DataFrame:
+def run_rows(spark, d, *further: str) -> DataFrame:
     src = F.when(F.regexp_extract("shard", r"__(\d{8})_", 1) >= SPLIT, 1).otherwise(0)
-    return x(spark, d).select("row_id", "status_code", src.alias("run"))
+    return x(spark, d).select("row_id", "status_code", src.alias("run"), *further)
 
 
 def samples(spark, d) -> DataFrame:
@@ -570,7 +569,7 @@ def w08(spark, d):
     return runs.acceleration(runs.deltas(samples(spark, d), "run"), "run").select("run", F.round("mean_acceleration", 10).alias("mean_acceleration"), F.round("std_acceleration", 8).alias("std_acceleration"))
 
 
-@R.add("w09_ema")
+@R.add("w09_ema", f"SELECT run, round(list_reduce(list_prepend(CAST(0 AS DOUBLE), list(CAST(fail_pct AS DOUBLE) ORDER BY completed)), lambda a, x: CASE WHEN a = 0 THEN x ELSE 0.3 * x + 0.7 * a END), 6) AS ema FROM {SAMPLES} GROUP BY run")
 def w09(spark, d):
     s = samples(spark, d)
     return runs.ema(s, "run", "fail_pct", "completed").withColumn("ema", F.round("ema", 6))
@@ -591,6 +590,17 @@ def w11(spark, d):
     return runs.stopped_at(s, "collection_slug", "row_id", 3)
 
 
+@R.add("w11_skipped_rows", f"WITH s AS (SELECT collection_slug, min(row_id) AS stopped_at FROM {STREAK} WHERE streak >= 3 GROUP BY 1) SELECT x.row_id, CASE WHEN x.row_id > s.stopped_at THEN -1 ELSE x.status_code END AS status_code FROM external_pdfs x LEFT JOIN s ON x.collection_slug IS NOT DISTINCT FROM s.collection_slug")
+def w11_rows(spark, d):
+    s = runs.timeout_streaks(x(spark, d).select("row_id", "collection_slug", "status_code"), "collection_slug", "row_id")
+    return runs.skip_after_stop(s, "collection_slug", "row_id", 3).select("row_id", "status_code")
+
+
+@R.add("z11_cancelled_rows", "WITH c AS (SELECT row_id, status_code, count(*) OVER w AS n, sum(CASE WHEN status_code = 500 THEN 1 ELSE 0 END) OVER w AS b FROM external_pdfs WINDOW w AS (ORDER BY row_id)), a AS (SELECT min(row_id) AS abort_at FROM c WHERE n >= 20 AND b / n > 0.05) SELECT row_id, CASE WHEN row_id > abort_at THEN -3 ELSE status_code END AS status_code FROM c, a")
+def z11(spark, d):
+    return runs.cancelled(x(spark, d).select("row_id", "status_code"), "row_id", 0.05, 20).select("row_id", "status_code")
+
+
 @R.add("w13_abort_point", "SELECT collection_slug, min(row_id) AS abort_at FROM (SELECT collection_slug, row_id, count(*) OVER w AS n, sum(CASE WHEN status_code = 500 THEN 1 ELSE 0 END) OVER w AS b FROM external_pdfs WINDOW w AS (PARTITION BY collection_slug ORDER BY row_id)) WHERE n >= 20 AND b / n > 0.1 GROUP BY 1")
 def w13(spark, d):
     return runs.abort_point(x(spark, d).select("row_id", "collection_slug", "status_code"), "collection_slug", "row_id", 0.1, 20)
@@ -609,9 +619,9 @@ def w15(spark, d):
     return rows.groupBy("external_link").agg(F.array_sort(F.collect_list(F.struct("row_id", "status_code"))).alias("h")).select("external_link", F.transform("h", lambda v: v["status_code"]).alias("history"))
 
 
-@R.add("d01_linear_model", f"SELECT run, count(*) AS n, round(regr_slope(fail_pct, completed), 9) AS slope, round(regr_intercept(fail_pct, completed), 5) AS intercept, round(regr_r2(fail_pct, completed), 6) AS r2 FROM {SAMPLES} GROUP BY run")
+@R.add("d01_linear_model", f"SELECT run, count(*) AS n, round(regr_slope(fail_pct, completed), 9) AS slope, round(regr_intercept(fail_pct, completed), 5) AS intercept, round(regr_r2(fail_pct, completed), 6) AS r2 FROM {SAMPLES} WHERE completed > 0 AND fail_pct > 0 GROUP BY run")
 def d01(spark, d):
-    m = runs.linear_models(samples(spark, d), "run", 830_313)
+    m = runs.linear_models(samples(spark, d), "run", 830_313, positive=True)
     return m.select("run", "n", F.round("slope", 9).alias("slope"), F.round("intercept", 5).alias("intercept"), F.round("r2", 6).alias("r2"))
 
 
@@ -622,7 +632,7 @@ def d03(spark, d):
 
 @R.add("d06_ensemble")
 def d06(spark, d):
-    return runs.ensemble(runs.curve_models(samples(spark, d), "run", 830_313), "run")
+    return runs.ensemble(runs.curve_models(samples(spark, d), "run", 830_313), "run", 830_313)
 
 
 TICKS = f"(SELECT CAST({SRC} AS INTEGER) AS run, row_id, status_code FROM external_pdfs)"
@@ -631,11 +641,9 @@ TICKS = f"(SELECT CAST({SRC} AS INTEGER) AS run, row_id, status_code FROM extern
 @R.add("z04_stage_machine")
 def z04(spark, d, every: int = 250):
     """Ticks of every run, at each ``every``-th completion and at its last, through the stage machine."""
-    s = F.col("status_code")
-    rows = runs.running_counts(run_rows(spark, d), "run", "row_id")
-    bad = F.when((s < 0) | ((s >= 400) & (s != 404)), 1).otherwise(0)
-    ticks = running(rows, "run", "row_id", blocks_of(rows, "row_id"), {"failish": bad, "ok": F.when(s == 200, 1).otherwise(0)})
-    ticks = runs.ticks(ticks.select("run", "completed", F.col("completed").alias("attempted"), "ok", "failish"), "run", "completed", every)
+    counts = runs.unique_counts(run_rows(spark, d, "external_link"), "run", "external_link", "row_id")
+    counts = runs.running_counts(counts, "run", "row_id")
+    ticks = runs.ticks(counts.select("run", "completed", "attempted", "ok", "failish"), "run", "completed", every)
     return runs.stage_machine(ticks, "run", "completed")
 
 

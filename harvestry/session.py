@@ -1,4 +1,4 @@
-"""Session helpers: where shared files live and how lineage is cut."""
+"""Session helpers: where shared files live, how lineage is cut, and how what was stored is removed again."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: dict[str, str] = {}
+_STORED: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -25,14 +26,30 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder that all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    Where neither is set, a temporary folder serves a session whose executors are threads of one machine; any other
+    session must name a folder, as a machine's own would not be seen by the others.
+    """
+    context = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not at:
-        app = spark.sparkContext.applicationId
-        at = _FALLBACK.setdefault(app, tempfile.mkdtemp(prefix="harvestry-"))
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        app = context.applicationId
+        if app not in _FALLBACK:
+            _FALLBACK[app] = tempfile.mkdtemp(prefix="harvestry-")
+        at = _FALLBACK[app]
     return at.rstrip("/")
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path below the shared folder that ``release`` removes."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
@@ -43,7 +60,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet below the shared folder and read it again; returns the table and its path."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, label)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -51,6 +68,16 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def release(spark: SparkSession) -> int:
+    """Remove every table this application stored; results that read from them must have been written out before."""
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(hadoop).delete(p, True)
+    return len(paths)
+
+
 def fresh(taken: list[str], *names: str) -> list[str]:
     """``names``, each lengthened until no column is called so (case aside)."""
     low, out = {t.lower() for t in taken}, []

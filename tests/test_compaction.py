@@ -14,7 +14,7 @@ def data(spark, rows):
 
 def test_running_total_is_exact(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 5, "0").alias("k"), (F.col("id") % 7).alias("v"))
-    out = {r["k"]: r["t"] for r in running_total(df, ["k"], "v", "t", 5).collect()}
+    out = {r["k"]: r["t"] for r in running_total(df, ["k"], "v", "t", 90).collect()}
     total = 0
     for i in range(1000):
         assert out[f"{i:05d}"] == total
@@ -23,7 +23,7 @@ def test_running_total_is_exact(spark):
 
 def test_number_rows_with_hot_and_null_keys(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    out = number_rows(df, "k", "id", F.floor(F.col("id") / 100), "n").collect()
+    out = number_rows(df.withColumn("b", F.floor(F.col("id") / 100)), "k", "id", "b", "n").collect()
     assert len(out) == 3000
     for key in (None, "hot"):
         assert sorted(r["n"] for r in out if r["k"] == key) == list(range(1000))
@@ -62,6 +62,32 @@ def test_huge_file_is_split_and_join_path_agrees(spark, monkeypatch):
     assert again.first()["written_rows"] == 200 and again.first()["lost_or_doubled"] == 0
 
 
+def test_both_ways_to_a_group_agree(spark, monkeypatch):
+    rows = [(i, None if i % 7 == 0 else f"{'abcdefgh'[i % 8]}{i % 3}", "x" * 20, "g", "q", i) for i in range(400)]
+    m = spark.createDataFrame([(f"{c}1", "s", 17, 900) for c in "bdfg"], FILES)
+    monkeypatch.setattr(compaction, "MAX_TASKS", 2)
+
+    def both():
+        report, path = compact(data(spark, rows), m, 1000)
+        placed = {(r["shard"], r["_group_"]) for r in spark.read.parquet(path).select("shard", "_group_").distinct().collect()}
+        return sorted(map(tuple, report.collect())), placed, len({r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()})
+
+    sent = both()
+    monkeypatch.setattr(compaction, "MAX_BOUNDARIES", 0)
+    assert both() == sent
+    groups = dict(sent[1])
+    assert groups[None] == -1 and groups["a0"] == groups["b1"] == 0 and groups["e2"] == groups["d1"] and groups["h0"] == groups["g1"]
+    assert sum(r[6] for r in sent[0]) == 400 and all(r[9] == 0 for r in sent[0])
+
+
+def test_rows_without_a_file_name_are_split(spark):
+    rows = [(i, None, "x", "g", "q", 0) for i in range(900)]
+    m = spark.createDataFrame([("a", "s", 10, 1000)], FILES)
+    report, path = compact(data(spark, rows), m, 5000)
+    assert [(r["group_id"], r["written_rows"]) for r in report.orderBy("group_id").collect()] == [(-1, 900), (0, 0)]
+    assert spark.read.parquet(path).select("_part").distinct().count() == 9
+
+
 def test_empty_tables(spark):
     report, _ = compact(data(spark, []), spark.createDataFrame([], FILES), 100)
     assert report.count() == 0

@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import math
 import random
 
 import pandas as pd
@@ -206,10 +207,86 @@ def test_sources_and_sinks(spark, tmp_path):
         sinks.to_json(spark.range(20), str(tmp_path / "r.json"), limit=10)
 
 
-def test_models(spark):
+def test_linear_model_and_its_p_value(spark):
     df = spark.createDataFrame(pd.DataFrame({"run": "r", "completed": range(100, 2100, 100), "fail_pct": [2 + 0.001 * k for k in range(100, 2100, 100)]}))
     m = runs.linear_models(df, "run", 10_000).first()
     assert m["slope"] == pytest.approx(0.001) and m["at_target"] == pytest.approx(12.0) and m["stderr"] == pytest.approx(0, abs=1e-6)
-    curves = {r["model"]: r["r2"] for r in runs.curve_models(df, "run", 10_000).collect()}
-    assert set(curves) == {"poly2", "poly3", "exponential", "power"} and min(curves.values()) > 0.99
-    assert runs.ensemble(runs.curve_models(df, "run", 10_000), "run").first()["risk"] == "HIGH"
+    noisy = spark.createDataFrame([("r", c, float(p)) for c, p in ((1, 2), (2, 1), (3, 4), (4, 3), (5, 6), (-1, 50), (6, 0))], "run string, completed bigint, fail_pct double")
+    m = runs.linear_models(noisy, "run", 10, positive=True).first()
+    assert (m["n"], m["slope"], m["intercept"]) == (5, pytest.approx(1.0), pytest.approx(0.2))
+    u = 2.5 / math.sqrt(3)  # three degrees of freedom have a closed form
+    assert m["p_value"] == pytest.approx(1 - 2 / math.pi * (math.atan(u) + u / (1 + u * u)), rel=1e-9) and m["stderr"] == pytest.approx(0.4, abs=1e-9)
+
+
+def curve(spark, f, xs=range(1000, 101_000, 1000)):
+    return spark.createDataFrame([("r", x, float(f(x / 1000))) for x in xs], "run string, completed bigint, fail_pct double")
+
+
+@pytest.mark.parametrize(("model", "f", "params"), [
+    ("exponential", lambda x: 5 * math.exp(0.01 * x) + 1, (5, 0.01, 1)), ("exponential", lambda x: 0.5 * math.exp(0.03 * x) + 4, (0.5, 0.03, 4)),
+    ("power_law", lambda x: 2 * x**0.5 + 0, (2, 0.5, None)), ("power_law", lambda x: 0.01 * x**1.7 + 3, (0.01, 1.7, None)),
+    ("polynomial_2", lambda x: 0.002 * x * x - 0.1 * x + 7, (0.002, -0.1, 7)), ("polynomial_3", lambda x: 1e-5 * x**3 - 0.001 * x * x + 0.2 * x + 1, (1e-5, -0.001, 0.2, 1)),
+])
+def test_known_curves_are_recovered(spark, model, f, params):
+    r = {r["model"]: r for r in runs.curve_models(curve(spark, f), "run", 200_000).collect()}[model]
+    assert r["r_squared"] > 0.9999
+    for got, want in zip(r["parameters"], params, strict=True):
+        assert want is None or got == pytest.approx(want, rel=0.03, abs=0.03 if abs(want) >= 1 else 1e-6)
+    value = f(200)
+    assert r["prediction"] == pytest.approx(min(value, 100.0) if model in ("exponential", "power_law") else value, rel=0.02)
+    assert r["failed_count"] == int(r["prediction"] * 2000)
+
+
+def test_ensemble_leaves_the_linear_model_out(spark):
+    kind = "run string, model string, prediction double, failed_count bigint, r_squared double, parameters array<double>"
+    m = spark.createDataFrame([("r", "linear", 99.0, 1, None, None), ("r", "a", 10.0, 1, 0.9, None), ("r", "b", 20.0, 1, -3.0, None), ("q", "linear", 5.0, 1, None, None)], kind)
+    out = {r["run"]: r for r in runs.ensemble(m, "run", 1000).collect()}
+    assert set(out) == {"r"} and out["r"]["prediction"] == pytest.approx((9 + 2) / 1.0) and out["r"]["failed_count"] == 110 and out["r"]["components"] == 2
+    a = spark.createDataFrame([("r", 0.1), ("q", -0.1), ("p", 0.2)], "run string, mean_acceleration double")
+    r = runs.recommendations(m, a, 1000).first()
+    assert (r["n"], r["mean"], r["high_failure"], r["accelerating"]) == (4, pytest.approx(33.5), True, True) and r["low"] == pytest.approx(33.5 - 1.96 * r["std"])
+
+
+def test_report_of_runs_and_of_all_together(spark):
+    rows = [(k, x, x // (10 if k == "a" else 5), 100 * (x // (10 if k == "a" else 5)) / x) for k in "ab" for x in range(100, 2100, 100)]
+    out = {r["run"]: r for r in runs.run_report(spark.createDataFrame(rows, "k string, completed bigint, failed bigint, fail_pct double"), "k", 5000).collect()}
+    assert set(out) == {"a", "b", "combined"} and out["combined"]["statistics"]["total_failed"] == 400
+    assert {m["model"] for m in out["a"]["models"]} == {"linear", "polynomial_2", "polynomial_3", "exponential", "power_law", "ensemble"}
+    one = runs.run_report(spark.createDataFrame(rows[:20], "k string, completed bigint, failed bigint, fail_pct double"), "k", 5000).collect()
+    assert [r["run"] for r in one] == ["a"]
+
+
+def test_ema_in_blocks_equals_a_plain_fold(spark):
+    import random as rnd
+
+    rng = rnd.Random(8)
+    rows = [(k, i, rng.choice([0.0, 0.0, 1.5, 7.0]) if i > 40 else 0.0) for k in ("a", "b", None) for i in range(300 if k else 30)]
+    got = {r["k"]: r["ema"] for r in runs.ema(spark.createDataFrame(rows, "k string, o bigint, v double").withColumn("_block", F.floor(F.col("o") / 17)), "k", "v", "o").collect()}
+    for k in ("a", "b", None):
+        acc = 0.0
+        for q, _, v in rows:
+            if q == k:
+                acc = v if acc == 0 else 0.3 * v + 0.7 * acc
+        assert got[k] == pytest.approx(acc)
+
+
+def test_counts_by_best_status_per_url(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice(["u", "v", "w", None]), rng.choice([200, 404, 403, 302, 500, 503, -1, -2, -3, None])) for i in range(300)]
+    df = spark.createDataFrame(rows, "o bigint, k string, u string, status_code bigint").withColumn("_block", F.floor(F.col("o") / 23))
+    got = {r["o"]: (r["attempted"], r["ok"], r["failish"]) for r in runs.unique_counts(df, "k", "u", "o").collect()}
+    rank = lambda s: 0 if s == 200 else 1 if s == 404 else 2 if s >= 500 else 3 if s < 0 else 4
+    best = {}
+    for o, k, u, s in rows:
+        if u is not None and s not in (None, -3) and ((k, u) not in best or rank(s) < rank(best[k, u])):
+            best[k, u] = s
+        own = [v for (kk, _), v in best.items() if kk == k]
+        assert got[o] == (len(own), sum(v == 200 for v in own), sum(v < 0 or (v >= 400 and v != 404) for v in own)), o
+
+
+def test_rows_behind_a_stop_are_marked(spark):
+    df = spark.createDataFrame([(k, i, s) for k in ("a", None) for i, s in enumerate([-1, -1, 200, -1, -1, 200, 404] if k else [200] * 4)], "k string, o bigint, status_code bigint")
+    out = runs.skip_after_stop(runs.timeout_streaks(df, "k", "o"), "k", "o", 2)
+    assert [r["status_code"] for r in out.where("k = 'a'").orderBy("o").collect()] == [-1, -1, -1, -1, -1, -1, -1] and out.where("k IS NULL AND status_code = 200").count() == 4
+    c = runs.cancelled(spark.createDataFrame([(i, 500 if i % 2 else 200) for i in range(10)], "o bigint, status_code bigint"), "o", 0.45, 4)
+    assert [r["status_code"] for r in c.orderBy("o").collect()] == [200, 500, 200, 500, -3, -3, -3, -3, -3, -3]

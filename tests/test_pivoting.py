@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from harvestry.operators.pivoting import discover_attributes, explode_fields, object_map, wide_records
+from harvestry.operators.pivoting import discover_attributes, explode_fields, field_counts, fields_of, object_map, wide_records
 
 BAD = [None, "", " ", "null", "[]", '[{"a":1}]', '{"a":1', '{"a":1} x', '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}]', "{'a':1}", '{"a":NaN}', '"text"', "1", "<html>", '{"a":1}],{"b":2}', '{"a" "b"}', "{a:1}"]
 GOOD = ["{}", '{"a":1}', ' {"a":"x","a":"y"}\n', '{"a":null,"b":"","c":"  ","d":[],"e":{"f":1},"g":false,"h":"0"}', '{"\\u0391":"x"}', '{"a":"\\"}"}']
@@ -40,18 +40,32 @@ def test_counts_duplicates_types_and_clashes(spark):
     assert by[1, 5]["Βάρος"] == pytest.approx(2.5)
 
 
-def test_rare_attributes_go_to_a_map(spark):
-    rows = [(i, json.dumps({"a": "x", f"r{i}": "v"}), 2) for i in range(5)]
-    out = wide_records(spark.createDataFrame(rows, "id bigint, j string, n bigint"), "id", "j", "n", max_columns=1).collect()
-    assert {r["id"]: r["other_fields"] for r in out} == {i: {f"r{i}": "v"} for i in range(5)}
-    assert all(r["a"] == "x" and r["count_matches"] for r in out)
+def test_rare_attributes_go_to_a_typed_map(spark):
+    rows = [(i, json.dumps({"a": "x", f"r{i}": f"{i}.5", "z": "no number" if i == 3 else str(1990 + i)}), 3) for i in range(9)]
+    df = spark.createDataFrame(rows, "id bigint, j string, n bigint")
+    whole = {r["id"]: r for r in wide_records(df, "id", "j", "n").collect()}
+    out = wide_records(df, "id", "j", "n", max_columns=1).collect()
+    for r in out:
+        other, full = r["other_fields"], whole[r["id"]]
+        assert r["count_matches"] and r["a"] == "x" and r["unread_fields"] == full["unread_fields"] == ({"z": ["no number"]} if r["id"] == 3 else {})
+        assert set(other) == ({f"r{r['id']}"} if r["id"] == 3 else {f"r{r['id']}", "z"})
+        assert other[f"r{r['id']}"]["real"] == full[f"r{r['id']}"] == r["id"] + 0.5 and (r["id"] == 3 or other["z"]["day"] == full["z"])
+    a, b = (sorted(map(tuple, field_counts(df, "id", "j", "n", m).collect())) for m in (1, 500))
+    assert a == b == [(i, 3, 3, True) for i in range(9)]
+
+
+def test_many_entries_that_do_not_read(spark):
+    entries = ",".join(f'"Έτος":"{"x" if k % 3 else 1900 + k % 90}"' for k in range(150))
+    rows = [(i, json.dumps({"Έτος": str(1950 + i % 50)}), 1) for i in range(800)] + [(900, "{" + entries + "}", 1)]
+    r = wide_records(spark.createDataFrame(rows, "id bigint, j string, n bigint"), "id", "j", "n").where("id = 900").first()
+    assert r["unread_fields"] == {"Έτος": ["x"] * 100} and str(r["Έτος"]) == "1957-01-01" and r["n_fields"] == 1
 
 
 def test_long_text_and_empty_table(spark):
     df = spark.createDataFrame([(1, json.dumps({"a": "y" * 200_000}), 1)], "id bigint, j string, n bigint")
     assert len(wide_records(df, "id", "j", "n").first()["a"]) == 200_000
     assert wide_records(df.limit(0), "id", "j", "n").count() == 0
-    assert discover_attributes(explode_fields(df.limit(0), "j")).count() == 0
+    assert discover_attributes(explode_fields(fields_of(df.limit(0), "j"))).count() == 0
 
 
 def test_values_that_do_not_read_are_kept(spark):
@@ -68,5 +82,5 @@ def test_values_that_do_not_read_are_kept(spark):
     assert by[22]["unread_fields"] == {"Έτος": ["1951?", "n.d."], "Βάρος": ["n/a"]} and by[22]["n_fields"] == 2
     assert str(by[23]["Έτος"]) == "2001-02-03" and by[23]["unread_fields"] == {}
     assert str(by[24]["Έτος"]) == "1991-01-01" and by[24]["unread_fields"] == {"Έτος": ["x"]}
-    told = {r["name"]: r["n_unread"] for r in discover_attributes(explode_fields(df, "j")).collect()}
+    told = {r["name"]: r["n_unread"] for r in discover_attributes(explode_fields(fields_of(df, "j"))).collect()}
     assert told == {"Έτος": 5, "Βάρος": 1}

@@ -10,9 +10,10 @@ C = "collection_slug string, item_count bigint"
 
 def test_chunks_have_equal_size(spark):
     df = spark.range(1, 5001).select(F.col("id").alias("row_id"), F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 30).cast("string")).alias("k"))
-    out = chunked(df, "k", "row_id", 100, 16).groupBy("k", "_chunk").count().collect()
+    pieces, _, chunk = chunked(df, "k", "row_id", 100, 300)
+    out = pieces.groupBy("k", chunk).count().collect()
     for k in {r["k"] for r in out}:
-        sizes = [r["count"] for r in sorted((r for r in out if r["k"] == k), key=lambda r: r["_chunk"])]
+        sizes = [r["count"] for r in sorted((r for r in out if r["k"] == k), key=lambda r: r[chunk])]
         assert all(s == 100 for s in sizes[:-1])
 
 
