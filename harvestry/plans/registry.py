@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from harvestry.session import tuned
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,4 +29,4 @@ class Registry:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")

@@ -25,13 +25,23 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     )
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session, told to give up whole-stage code beyond 8,000 bytes a method unless it has a setting of its own.
+
+    HotSpot never compiles a longer method but interprets it, several times slower than the operators one by one.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
     Where neither is set, a temporary folder serves a session whose executors are threads of one machine; any other
     session must name a folder, as a machine's own would not be seen by the others.
     """
-    context = spark.sparkContext
+    context = tuned(spark).sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not at:
         if not (context.master == "local" or context.master.startswith("local[")):
