@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harvestry.functions.urls import page_of, spelling_of
+from harvestry.llm import fusion
 from harvestry.llm.fusion import _dependence, claims_by_page, fuse_pages, source_weights
 
 X = "row_id bigint, shard string, collection_slug string, page_number bigint, edm_url string, status_code bigint, retries bigint, k1 string, claims int, status int"
@@ -42,20 +43,44 @@ def test_keeps_the_row_of_the_merge_order(spark):
     assert got == want
 
 
-def test_votes_are_discounted_for_copies(spark):
-    # three waves repeat each other's wrong code, two independent ones agree on another
+def copied(waves=("01", "02", "03", "04", "05", "06")):
+    """Waves 1 to 3 are as often right as 4 and 5, but share their errors; wave 6 tells the truth on all but the last pages."""
     rows, n = [], 0
-    for page in range(60):
-        for month, code in (("01", 404), ("02", 404), ("03", 500 + page % 7), ("04", 500 + page % 7), ("05", 500 + page % 7)):
-            n += 1
-            code = 404 if page % 3 == 0 else code
-            rows.append((n, f"external_pdfs__s__2023{month}01_000000__1", "s", page, U, code, 0))
-    pages, names = claims_by_page(rows_of(spark, rows))
-    accuracy, free, weights = source_weights(pages, len(names))
-    assert all(0 < w for w in weights) and all(0 < f <= 1 for f in free) and all(0 < a < 1 for a in accuracy)
+    for page in range(103):
+        codes = [200] * 6 if page < 70 else [404, 404, 404, 410 + page % 7, 500 + page % 5, 200] if page < 100 else [404, 404, 404, 503, 503, None]
+        for wave, code in zip(waves, codes, strict=True):
+            if code is not None:
+                n += 1
+                rows.append((n, f"external_pdfs__s__2023{wave}01_000000__1" if len(wave) == 2 else f"external_pdfs__s__{wave}01_000000__1", "s", page, U, code, page % 3))
+    return rows
+
+
+def test_copied_votes_lose_where_counting_would_let_them_win(spark):
+    df = rows_of(spark, copied())
+    pages, sources = claims_by_page(df)
+    accuracy, free, weights = source_weights(pages, sources)
+    assert sources == [202301, 202302, 202303, 202304, 202305, 202306]
+    assert max(free[:3]) < 0.5 < min(free[3:]) and max(abs(a - b) for a in accuracy[:5] for b in accuracy[:5]) < 0.2
+    fused = {r["row_id"]: r["status_code"] for r in fuse_pages(df).collect()}
+    plain = {r["row_id"]: r["status_code"] for r in fuse_pages(df, weights=[1.0] * 6).collect()}
+    assert fused.keys() == plain.keys()  # the merge order keeps the same rows
+    assert sorted(set(fused.values())) == [200, 503] and sorted(set(plain.values())) == [200, 404]
     assert _dependence(0.8, 0.8, 0, 30, 0) > 0.99 > 0.5 > _dependence(0.8, 0.8, 0, 0, 30)
 
 
+def test_more_sources_than_bits_of_a_number(spark, monkeypatch):
+    few = source_weights(*claims_by_page(rows_of(spark, copied())))
+    many = copied() + [(10_000 + k, f"external_pdfs__s__{1900 + k}0101_000000__1", "t", k // 2, U, 404, 0) for k in range(80)]
+    pages, sources = claims_by_page(rows_of(spark, many))
+    assert len(sources) == 86
+    got = source_weights(pages, sources)
+    at = [sources.index(202300 + k) for k in range(1, 7)]
+    assert [got[2][i] for i in at] == pytest.approx(few[2])
+    monkeypatch.setattr(fusion, "COUNTED", 7)
+    monkeypatch.setattr(fusion, "WORD", 5)
+    assert source_weights(pages, sources) == got
+
+
 def test_fused_fields_and_empty_table(spark):
     rows = [(1, "a", "s", 1, U + "/", 404, 2), (2, "b", "s", 1, U, 200, None), (3, "c", "s", 1, U, 200, 1), (4, "c", "s", 1, U, 200, 1), (5, "d", "s", 1, U, 500, 9)]
     r = fuse_pages(rows_of(spark, rows)).first()
