@@ -61,37 +61,61 @@ def plan_mixture(sizes: dict[str, int], targets: list[tuple[str, float, int]], t
     return int(min(most, total) if total else most), {s: w / weight for s, w, _ in live}
 
 
-def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_tokens: int = 8192, total: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
-    """(mixture, shares). Mixture: ``slot, source, repeat, doc_id, n_tokens``, to be read in slot order.
-
-    Documents of a source are shuffled by a keyed hash and cut into blocks of ``block_tokens`` tokens (a document
-    belongs to the block its first token falls in). Slot i takes the van der Corput point of i through the cumulative
-    weights, which names its source; the slots of a source are ranked, and rank r takes block r modulo the blocks, in
-    its (r div blocks)-th repeat, never more than ``max_repeats``. Running token counts and ranks are prefix sums over
-    hash ranges, so a source with most documents is never in one task.
-
-    Shares: ``source, target_share, max_repeats, n_docs, n_tokens, tokens_taken, actual_share, repeats_used`` of every
-    target; documents of no target (null source included) are in a row with null target and nothing taken. Empty
-    tables give an empty mixture and shares of 0. Documents without tokens take no place.
+#: Sources of a plan: targets are a configuration and come to the driver; more than this is an error.
+MAX_TARGETS = 10_000
+#: Slots and documents that one task ranks at a time; the number of tasks grows with them.
+ROWS_PER_RANGE = 500_000
+
+
+def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_tokens: int = 8192, total: int | None = None, seed: int = 7, tokenizer: str = TOKENIZER, size: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(mixture, shares). Mixture: ``slot, source, repeat, doc_id, first_token, n_tokens``, to be read in slot order.
+
+    The documents of a source are shuffled by a keyed hash and laid end to end, as often as the source may repeat; this
+    line of tokens is cut into blocks of exactly ``block_tokens`` tokens, so a document may span blocks: ``first_token`` is
+    the place in the document where the piece of ``n_tokens`` tokens begins. Slot i takes the van der Corput point of i
+    through the cumulative weights, which names its source; the slots of a source are ranked, and rank r takes block r, so
+    every slot holds the same number of tokens and no source is taken more than ``max_repeats`` times. Running token counts
+    and ranks are prefix sums over ranges of hashes and slots, whose number grows with the table, so a source with most
+    documents is never in one task.
+
+    Source names are folded on both sides (``source_name``); a target named more than once counts once, with its largest
+    share and repeats; a null or absent ``max_repeats`` is 1. ``size`` names a column to be taken for the number of tokens.
+    Shares: ``source, target_share, max_repeats, n_docs, n_tokens, tokens_taken, repeats_used, actual_share`` of every target
+    and every other source; documents without a source are a row with null source. Empty tables give an empty mixture and
+    shares of 0. Documents without tokens take no place. More than MAX_TARGETS targets raise a ValueError.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), source_name(F.col(source)).alias("source"), F.col(text).alias("_t"))
-    counted, _ = stored(token_counts(rows, ["doc_id", "source"], "_t", tokenizer), "tokens")
-    wanted = [(r["source"], float(r["target_share"] or 0), int(r["max_repeats"] or 1)) for r in targets.where(F.col("source").isNotNull()).limit(10_000).collect()]  # a plan: a row per source
-    held = counted.join(F.broadcast(targets.select("source").distinct()), "source", "left_semi").groupBy("source").agg(F.sum("n_tokens").alias("n"))
-    sizes = {r["source"]: r["n"] for r in held.collect()}  # at most a row per target
-    tokens, shares = plan_mixture(sizes, wanted, total)
+    own = [F.col(doc_id).alias("doc_id"), source_name(F.col(source)).alias("source")]
+    if size:
+        rows = docs.select(*own, F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long")).alias("n_tokens"))
+    else:
+        rows = token_counts(docs.select(*own, F.col(text).alias("_t")), ["doc_id", "source"], "_t", tokenizer)
+    counted, _ = stored(rows.withColumn("_n", F.monotonically_increasing_id()), "tokens")
+    goal = targets.where(F.col("source").isNotNull()).groupBy(source_name(F.col("source")).alias("source")).agg(F.max("target_share").cast("double").alias("target_share"), F.max("max_repeats").cast("long").alias("max_repeats"))
+    plan = goal.limit(MAX_TARGETS + 1).collect()
+    if len(plan) > MAX_TARGETS:
+        raise ValueError(f"a plan has at most {MAX_TARGETS} sources")
+    have = counted.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.count_if(F.col("n_tokens") > 0).alias("n_full"))
+    held = {r["source"]: r for r in have.join(F.broadcast(goal.select("source")), "source", "left_semi").collect()}  # at most a row per target
+    sizes = {s: r["n_tokens"] for s, r in held.items()}
+    tokens, shares = plan_mixture(sizes, [(r["source"], r["target_share"] or 0.0, r["max_repeats"] or 1) for r in plan], total)
     names = sorted(shares)
+    repeats = {r["source"]: max(1, r["max_repeats"] or 1) for r in plan}
     block_tokens = max(1, min(block_tokens, tokens // 2000 or 1))
     slots_n = tokens // block_tokens
-    blocks = {s: -(-sizes[s] // block_tokens) for s in names}
-    repeats = {s: r for s, _, r in wanted}
+    lookup = lambda values, kind: F.try_element_at(F.create_map(*[x for s in names for x in (F.lit(s), F.lit(values[s]))]).cast(f"map<string,{kind}>") if names else F.create_map().cast(f"map<string,{kind}>"), F.col("source"))
 
-    # shuffled blocks of equal tokens
-    h = F.xxhash64(F.lit(seed), "doc_id")
+    # the documents of each source end to end, in the order of a keyed hash; a missing id is told apart by the row's number
+    h = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "_n")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
+    bits_of = max(3, (sum(r["n_full"] for r in held.values()) // ROWS_PER_RANGE).bit_length() + 3)
     known = counted.where(F.col("source").isin(names) & (F.col("n_tokens") > 0)) if names else counted.limit(0)
-    placed = number_rows(known.withColumn("_h", h), "source", ["_h", "doc_id"], F.shiftright("_h", 52), "_start", weight="n_tokens")
-    placed = placed.select("source", "doc_id", "n_tokens", F.floor(F.col("_start") / F.lit(block_tokens)).cast("long").alias("block"))
+    placed = number_rows(known.withColumn("_h", h).withColumn("_range", F.shiftright("_h", 64 - bits_of)), "source", ["_h", "_n"], "_range", "_start", weight="n_tokens")
+    round_ = placed.withColumn("repeat", F.explode(F.sequence(F.lit(0).cast("long"), lookup(repeats, "bigint") - 1)))
+    from_ = F.col("repeat") * lookup(sizes, "bigint") + F.col("_start")
+    pieces = round_.withColumn("_from", from_).withColumn("block", F.explode(F.sequence(F.floor(F.col("_from") / block_tokens), F.floor((F.col("_from") + F.col("n_tokens") - 1) / block_tokens))))
+    first = F.greatest(F.lit(0).cast("long"), F.col("block") * block_tokens - F.col("_from"))
+    end = F.least(F.col("n_tokens"), (F.col("block") + 1) * block_tokens - F.col("_from"))
+    pieces = pieces.select("source", "block", "repeat", "doc_id", first.alias("first_token"), (end - first).alias("n_tokens"))
 
     # slots
     bits = max(1, int(slots_n).bit_length())
@@ -103,19 +127,12 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str =
     at = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cumulative[:-1]]).cast("array<double>"), lambda c: c <= F.col("u"))) + 1
     slots = spark.range(slots_n).withColumnRenamed("id", "slot").withColumn("u", (turned + 0.5) / float(1 << bits))
     slots = slots.withColumn("source", F.element_at(F.array(*[F.lit(s) for s in names]) if names else F.array(F.lit(None).cast("string")), at.cast("int")))
-    width = max(1, slots_n // 4096)
-    ranked = number_rows(slots.select("slot", "source"), "source", "slot", F.floor(F.col("slot") / width), "rank")
-    count_of = F.create_map(*[x for s in names for x in (F.lit(s), F.lit(blocks[s]))]) if names else F.create_map().cast("map<string,int>")
-    most = F.create_map(*[x for s in names for x in (F.lit(s), F.lit(repeats[s]))]) if names else F.create_map().cast("map<string,int>")
-    n_blocks = F.try_element_at(count_of, F.col("source"))
-    taken = ranked.withColumn("repeat", F.floor(F.col("rank") / n_blocks).cast("long")).withColumn("block", F.pmod(F.col("rank"), n_blocks.cast("long"))).where(F.col("repeat") < F.try_element_at(most, F.col("source")))
-    mixture = taken.join(placed, ["source", "block"]).select("slot", "source", "repeat", "doc_id", "n_tokens")
-
-    used = mixture.groupBy("source").agg(F.sum("n_tokens").alias("tokens_taken"), (F.max("repeat") + 1).alias("repeats_used"))
-    have = counted.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-    goal = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").cast("long").alias("max_repeats"))
-    null = have.where(F.col("source").isNull()).select(F.lit(None).cast("string").alias("source"), F.lit(None).cast("double").alias("target_share"), F.lit(None).cast("long").alias("max_repeats"), "n_docs", "n_tokens", F.lit(None).cast("long").alias("tokens_taken"), F.lit(None).cast("long").alias("repeats_used"))
-    report = goal.join(have.where(F.col("source").isNotNull()), "source", "full_outer").join(used, "source", "left").select("source", "target_share", "max_repeats", "n_docs", "n_tokens", "tokens_taken", "repeats_used").unionByName(null)
+    ranked = number_rows(slots.select("slot", "source", F.floor(F.col("slot") / ROWS_PER_RANGE).alias("_range")), "source", "slot", "_range", "block")
+    mixture = ranked.select("slot", "source", "block").join(pieces, ["source", "block"]).select("slot", "source", "repeat", "doc_id", "first_token", "n_tokens")
+
+    used = mixture.groupBy(F.col("source").alias("_s")).agg(F.sum("n_tokens").alias("tokens_taken"), (F.max("repeat") + 1).alias("repeats_used"))
+    report = have.join(goal.withColumnRenamed("source", "_g"), F.col("source").eqNullSafe(F.col("_g")), "full_outer").withColumn("source", F.coalesce("source", "_g"))
+    report = report.join(used, F.col("source") == F.col("_s"), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     report = report.select("source", "target_share", "max_repeats", zero("n_docs"), zero("n_tokens"), zero("tokens_taken"), zero("repeats_used"))
     whole = F.sum("tokens_taken").over(Window.partitionBy(F.lit(1)))  # a row per source
