@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 #: Words of a window, errors allowed in it (one in eight), and words of a seed: two errors leave a run of five words.
 WINDOW, ERRORS, SEED = 16, 2, 5
-#: Words of one shard's index, and items searched at a time; more are searched in further rounds.
-SHARD_WORDS, ITEM_BLOCK = 1_000_000, 20_000
+#: Words of one shard's index; characters of passages in one block (every block is searched in the same index), and distinct
+#: words of all passages, which are sent to every executor (beyond it an error is raised: a query set isn't a corpus).
+SHARD_WORDS, BLOCK_CHARS, MAX_VOCABULARY = 1_000_000, 32_000_000, 10_000_000
 #: Raw words that a partition remembers, to fold each of them once.
 KNOWN_WORDS = 500_000
 _L = r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*"
@@ -150,21 +152,43 @@ def _ranks(order: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rank, order[~alone]
 
 
+def add_words(vocabulary: dict[str, int], text: str | None) -> None:
+    """Number the words of a passage, and its neighbouring words written as one."""
+    words = words_of(text or "")
+    for w in [*words, *map("".join, zip(words, words[1:], strict=False))]:
+        vocabulary.setdefault(w, len(vocabulary) + 1)
+
+
 class Items:
-    """Seeds of the passages: every run of SEED words, with the items and places that have it."""
+    """Passages as word numbers, and their seeds: every run of words long enough that the allowed errors can't hit them all.
+
+    A window of 16 words with two errors keeps a run of five; a shorter passage of n words with n // 8 errors keeps one of
+    (n - errors) / (errors + 1) words. Seeds hold the items and places that have them.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
-        self.vocabulary: dict[str, int] = {}
+    def __init__(self, items: list[tuple[int, str]], vocabulary: dict[str, int] | None = None) -> None:
+        if vocabulary is None:
+            vocabulary = {}
+            for _, text in items:
+                add_words(vocabulary, text)
+        self.vocabulary = vocabulary
         self.passages: dict[int, list[int]] = {}
+        self.joined: dict[int, tuple[int, int]] = {}
         self.seeds: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text or "")]
+            words = words_of(text or "")
+            ids = [vocabulary[w] for w in words]
             if not ids:
                 continue
             self.passages[item] = ids
-            step = min(SEED, len(ids))
+            for a, b, one, two in zip(words, words[1:], ids, ids[1:], strict=False):
+                self.joined[vocabulary[a + b]] = (one, two)
+            errors = min(ERRORS, len(ids) // 8)
+            step = min(SEED, -(-(len(ids) - errors) // (errors + 1)))
             for i in range(len(ids) - step + 1):
                 self.seeds[tuple(ids[i : i + step])].append((item, i))
+        for w in {w for ids in self.passages.values() for w in ids}:
+            self.joined.pop(w, None)  # a word of its own is no pair
         by_size: dict[int, list[tuple[int, ...]]] = defaultdict(list)
         for s in self.seeds:
             by_size[len(s)].append(s)
@@ -172,25 +196,52 @@ class Items:
 
 
 def aligned(passage: list[int], doc: list[int], i: int, p: int) -> tuple[int, int] | None:
-    """The (first, last + 1) document words of a window around the match passage[i] = doc[p], or None.
+    """The (first, last + 1) document words of the windows around the match passage[i] = doc[p], or None.
 
-    A window has WINDOW passage words (all of a shorter passage) that match with at most one error in eight words;
-    its first and last words match. Two document words may make one passage word and the other way round.
+    A window has WINDOW passage words, of which the first and the last stand there, with at most one error in eight words;
+    all windows that hold the match lie between the earliest and the latest of them. A passage that errors at its ends could
+    make shorter than a window is compared as a whole, with one error in eight at any place, its ends included.
     """
     size = min(WINDOW, len(passage))
-    most = size // 8
-    for a in range(min(i, len(passage) - size), max(0, i - size + 1) - 1, -1):
-        want = passage[a : a + size]
-        for shift in range(-most, most + 1):
-            d = p - (i - a) + shift
-            if d < 0 or d >= len(doc) or doc[d] != want[0]:
-                continue
-            reach = _match(want, doc, d, most)
-            if reach is not None:
-                return d, reach
+    most = min(ERRORS, size // 8)
+    starts = range(min(i, len(passage) - size), max(0, i - size + 1) - 1, -1)
+
+    def window(order) -> tuple[int, int] | None:  # noqa: ANN001
+        for a in order:
+            want = passage[a : a + size]
+            for shift in sorted(range(-most, most + 1), key=abs):
+                d = p - (i - a) + shift
+                if d < 0 or d >= len(doc) or doc[d] != want[0]:
+                    continue
+                reach = _match(want, doc, d, most)
+                if reach is not None:
+                    return d, reach
+        return None
+
+    latest = window(starts)
+    if latest:
+        earliest = window(reversed(starts))
+        return min(latest[0], earliest[0]), max(latest[1], earliest[1])
+    most = min(ERRORS, len(passage) // 8)
+    if most and len(passage) - most < WINDOW:
+        low = max(0, p - i - most)
+        return _anywhere(passage, doc[low : p - i + len(passage) + most], low, most)
     return None
 
 
+def _anywhere(want: list[int], stretch: list[int], low: int, most: int) -> tuple[int, int] | None:
+    """The part of ``stretch`` (which begins at ``low``) with the least edits to ``want``, if these are few enough."""
+    row = [(0, j) for j in range(len(stretch) + 1)]
+    for i, w in enumerate(want, 1):
+        new = [(i, 0)]
+        for j, d in enumerate(stretch, 1):
+            same = (row[j - 1][0] + (w != d), row[j - 1][1])
+            new.append(min(same, (row[j][0] + 1, row[j][1]), (new[j - 1][0] + 1, new[j - 1][1])))
+        row = new
+    cost, end = min((c, j) for j, (c, _) in enumerate(row))
+    return (low + row[end][1], low + end) if cost <= most and end > row[end][1] else None
+
+
 def _match(want: list[int], doc: list[int], d: int, most: int) -> int | None:
     """Edit distance of ``want`` to a stretch of ``doc`` from ``d`` on, in a band; the end of the best stretch."""
     n, band = len(want), most
@@ -216,7 +267,7 @@ def _match(want: list[int], doc: list[int], d: int, most: int) -> int | None:
 def _present(passage: list[int], doc: list[int], i: int, p: int) -> bool:
     """Cheap and exact to reject: enough words of some window around the seed stand near the match."""
     size = min(WINDOW, len(passage))
-    most = size // 8
+    most = min(ERRORS, size // 8)
     near = set(doc[max(0, p - size - most) : p + size + most + SEED])
     a, b = max(0, i - size + 1), min(len(passage), i + size + SEED)
     hits = [w in near for w in passage[a:b]]
@@ -229,9 +280,40 @@ def _present(passage: list[int], doc: list[int], i: int, p: int) -> bool:
     return False
 
 
-def scan(batches: Iterator[pd.DataFrame], items: Items) -> Iterator[pd.DataFrame]:
-    """Index the documents of a partition shard by shard and yield ``doc_id, item_id, first_char, end_char``."""
-    vocabulary = items.vocabulary
+def _evened(ids: list[int], text: str, vocabulary: dict[str, int], joined: dict[int, tuple[int, int]]) -> tuple[list[int], list[int], list[int]]:
+    """A document's words with spacing evened out: (numbers, and of each the first and last word of the text it stands for).
+
+    Two words of which one is unknown and that make a passage word together count as that word; a word that is two
+    neighbouring passage words written together counts as both.
+    """
+    words: list[str] | None = None
+    out, first, last = [], [], []
+    j = 0
+    while j < len(ids):
+        if j + 1 < len(ids) and not (ids[j] and ids[j + 1]):
+            words = words or words_of(text)
+            one = vocabulary.get(words[j] + words[j + 1], 0)
+            if one and one not in joined:
+                out.append(one)
+                first.append(j)
+                last.append(j + 1)
+                j += 2
+                continue
+        for part in joined.get(ids[j], (ids[j],)):
+            out.append(part)
+            first.append(j)
+            last.append(j)
+        j += 1
+    return out, first, last
+
+
+def scan(batches: Iterator[pd.DataFrame], *blocks: Callable[[], Items] | Items) -> Iterator[pd.DataFrame]:
+    """Index the documents of a partition shard by shard, search every block of items in each index, and yield
+    ``doc_id, item_id, first_char, end_char``."""
+    load = [(lambda b=b: b) if isinstance(b, Items) else b for b in blocks]
+    if not load:
+        return
+    vocabulary = load[0]().vocabulary
     sep = len(vocabulary) + 1
 
     class Numbers(dict):
@@ -255,13 +337,13 @@ def scan(batches: Iterator[pd.DataFrame], items: Items) -> Iterator[pd.DataFrame
             shard.append((doc_id, ids, text))
             size += len(ids) + 1
             if size >= SHARD_WORDS:
-                yield _search(shard, items, sep)
+                yield from _search(shard, load, sep)
                 shard, size = [], 0
     if shard:
-        yield _search(shard, items, sep)
+        yield from _search(shard, load, sep)
 
 
-def _search(shard: list[tuple], items: Items, sep: int) -> pd.DataFrame:
+def _search(shard: list[tuple], load: list[Callable[[], Items]], sep: int) -> Iterator[pd.DataFrame]:
     lengths = np.array([len(ids) + 1 for _, ids, _ in shard])
     starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
     symbols = np.full(int(lengths.sum()), sep, np.int64)
@@ -269,61 +351,99 @@ def _search(shard: list[tuple], items: Items, sep: int) -> pd.DataFrame:
     inside[starts + lengths - 1] = False
     symbols[inside] = np.concatenate([ids for _, ids, _ in shard])
     index = FmIndex(symbols, starts, sep + 1)
-    hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-    for seeds, matrix in items.by_size.values():
-        lo, hi = index.search(matrix)
-        found = np.flatnonzero(hi > lo)
-        counts = (hi - lo)[found]
-        which = np.repeat(found, counts)
-        rows = np.repeat(lo[found] - np.concatenate(([0], np.cumsum(counts)))[:-1], counts) + np.arange(int(counts.sum()))
-        places = index.locate(rows)
-        docs = np.searchsorted(starts, places, side="right") - 1
-        for s, d, p in zip(which.tolist(), docs.tolist(), (places - starts[docs]).tolist(), strict=True):
-            for item, i in items.seeds[seeds[s]]:
-                hits[d, item].append((p, i))
-    out = []
-    words: dict[int, list[int]] = {}
-    for (d, item), at in hits.items():
-        doc_id, text = shard[d][0], shard[d][2]
-        ids = words.get(d) or words.setdefault(d, shard[d][1].tolist())
+    for block in load:
+        items = block()
+        # a word of the text begins at most one seed of each length, so the places are no more than the text's words
+        seeds, docs, places = [], [], []
+        for names, matrix in items.by_size.values():
+            lo, hi = index.search(matrix)
+            found = np.flatnonzero(hi > lo)
+            counts = (hi - lo)[found]
+            rows = np.repeat(lo[found] - np.concatenate(([0], np.cumsum(counts)))[:-1], counts) + np.arange(int(counts.sum()))
+            at = index.locate(rows)
+            d = np.searchsorted(starts, at, side="right") - 1
+            seeds += [names[k] for k in np.repeat(found, counts)]
+            docs.append(d)
+            places.append(at - starts[d])
+        if not seeds:
+            continue
+        docs, places = np.concatenate(docs), np.concatenate(places)
+        order = np.lexsort((places, docs))
+        bounds = np.flatnonzero(np.append(True, np.diff(docs[order]) != 0))
+        out = []
+        for a, b in zip(bounds, np.append(bounds[1:], len(order)), strict=True):
+            out += _verified(shard[docs[order[a]]], [(int(places[k]), seeds[k]) for k in order[a:b]], items)
+        yield pd.DataFrame(out, columns=["doc_id", "item_id", "first_char", "end_char"]).astype("int64")
+
+
+def _verified(doc: tuple, hits: list[tuple[int, tuple]], items: Items) -> list[tuple]:
+    """Merged removal spans of one document, from its seeds in the order of their places."""
+    doc_id, ids, text = doc
+    per_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for p, seed in hits:
+        for item, i in items.seeds[seed]:
+            per_item[item].append((p, i))
+    words, first, last = _evened(ids.tolist(), text, items.vocabulary, items.joined)
+    place = {j: k for k, j in enumerate(first)}
+    out, spans = [], None
+    for item, at in per_item.items():
         passage = items.passages[item]
         merged: list[list[int]] = []
-        for p, i in sorted(at):
-            if merged and p + SEED <= merged[-1][1]:
+        for p, i in at:
+            p = place.get(p, -1)
+            if p < 0 or merged and p + SEED <= merged[-1][1]:
                 continue
-            if not _present(passage, ids, i, p):
+            if not _present(passage, words, i, p):
                 continue
-            window = aligned(passage, ids, i, p)
+            window = aligned(passage, words, i, p)
             if window:
                 if merged and window[0] <= merged[-1][1] + SEED:
                     merged[-1][1] = max(merged[-1][1], window[1])
                 else:
                     merged.append(list(window))
         if merged:
-            spans = [m.span(1) for m in _WORD.finditer(text) if m[1]]
-            out += [(doc_id, item, spans[a][0], spans[b - 1][1]) for a, b in merged]
-    return pd.DataFrame(out, columns=["doc_id", "item_id", "first_char", "end_char"]).astype("int64")
+            spans = spans or [m.span(1) for m in _WORD.finditer(text) if m[1]]
+            out += [(doc_id, item, spans[first[a]][0], spans[last[b - 1]][1]) for a, b in merged]
+    return out
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage") -> DataFrame:
     """Merged removal spans of leaked passages: ``doc_id, item_id, first_char, end_char`` (characters from 0, end exclusive).
 
-    Every partition of documents is indexed as it is read, a shard of about SHARD_WORDS words at a time, and all seeds
-    of all passages are searched in it; hits are checked exactly (see ``aligned``) and overlapping spans of an item
-    merged. There is no shuffle. Passages come to the driver in blocks of ITEM_BLOCK items. Null or empty texts and
-    passages match nothing; a passage of fewer than 16 words must stand there whole; repeated rows each come out.
+    Every partition of documents is read once and indexed as it is read, a shard of about SHARD_WORDS words at a time, and all
+    seeds of all passages are searched in it, however many blocks of passages there are; hits are checked exactly (see
+    ``aligned``) and overlapping spans of an item merged. There is no shuffle. Passages and their vocabulary are the query
+    set: they come to the driver and go to all executors, a block of BLOCK_CHARS characters at a time; a vocabulary beyond
+    MAX_VOCABULARY raises a ValueError. Null or empty texts and passages match nothing; a passage of fewer than 16 words
+    must stand there whole but for one error in eight words; repeated rows each come out.
     """
     spark = docs.sparkSession
     asked = items.where(F.col(passage).isNotNull()).select(F.col(item_id).cast("long").alias("i"), F.col(passage).alias("p"))
-    blocks = max(1, -(-asked.count() // ITEM_BLOCK))
-    out = None
-    for b in range(blocks):
-        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b)
-        sent = spark.sparkContext.broadcast([(r["i"], r["p"]) for r in part.collect()])
-
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            return scan(batches, Items(sent.value))
-
-        found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, "doc_id bigint, item_id bigint, first_char bigint, end_char bigint")
-        out = found if out is None else out.unionByName(found)
-    return out
+    vocabulary: dict[str, int] = {}
+    blocks, own, size = [], [], 0
+    for r in asked.toLocalIterator():
+        own.append((r["i"], r["p"]))
+        add_words(vocabulary, r["p"])
+        if len(vocabulary) > MAX_VOCABULARY:
+            raise ValueError(f"the passages have over {MAX_VOCABULARY} distinct words")
+        size += len(r["p"])
+        if size >= BLOCK_CHARS:
+            blocks.append(spark.sparkContext.broadcast(own))
+            own, size = [], 0
+    if own:
+        blocks.append(spark.sparkContext.broadcast(own))
+    words = spark.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[int, Items] = {}
+
+        def load(k: int) -> Items:
+            if k not in kept:
+                kept.clear()  # one block at a time
+                kept[k] = Items(blocks[k].value, words.value)
+            return kept[k]
+
+        yield from scan(batches, *[partial(load, k) for k in range(len(blocks))])
+
+    schema = "doc_id bigint, item_id bigint, first_char bigint, end_char bigint"
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)

@@ -31,7 +31,8 @@ def test_index_equals_brute_force(seed):
 def found(*texts, items=((1, PASSAGE),)):
     import pandas as pd
 
-    out = pd.concat(list(scan(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": list(texts)})]), Items(list(items)))))
+    none = pd.DataFrame({c: [] for c in ("doc_id", "item_id", "first_char", "end_char")}, dtype="int64")
+    out = pd.concat([none, *scan(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": list(texts)})]), Items(list(items)))])
     return {(a, b) for a, b in out[["doc_id", "item_id"]].values.tolist()}, out
 
 
@@ -76,10 +77,50 @@ def test_fold():
     assert fold("ΤΕΎΧΟΣ") == fold("τεύχος") == "τευχοσ"
 
 
+@pytest.mark.parametrize("edit", ["other", "missing", "extra"])
+@pytest.mark.parametrize("n", [8, 9, 12, 15, 16, 17, 18, 24])
+def test_one_error_at_every_place_is_found(n, edit):
+    item = ((1, " ".join(WORDS[:n])),)
+    texts = []
+    for k in range(n):
+        w = WORDS[:n]
+        w[k : k + 1] = {"other": ["ξένη"], "missing": [], "extra": [w[k], "ξένη"]}[edit]
+        texts.append("πριν από αυτό " + " ".join(w) + " και μετά αυτό")
+    assert {d for d, _ in found(*texts, items=item)[0]} == set(range(n))
+
+
+@pytest.mark.parametrize("n", [16, 17, 20])
+def test_two_errors_at_every_pair_of_places_are_found(n):
+    pairs = [(a, b) for a in range(n) for b in range(a + 1, n)]
+    texts = [" ".join(["αρχή"] + ["ξένη" if k in p else w for k, w in enumerate(WORDS[:n])] + ["τέλος"]) for p in pairs]
+    assert len(found(*texts, items=((1, " ".join(WORDS[:n])),))[0]) == len(pairs)
+    three = [" ".join("ξένη" if k in (a, a + 5, a + 10) else w for k, w in enumerate(WORDS[:17])) for a in range(2, 5)]
+    assert found(*three, items=((1, " ".join(WORDS[:17])),))[0] == set()
+
+
+def test_seven_words_must_stand_whole():
+    item = ((1, " ".join(WORDS[:7])),)
+    assert found(" ".join(WORDS[:7]), " ".join(WORDS[:6]), " ".join([*WORDS[:3], "x", *WORDS[4:7]]), items=item)[0] == {(0, 1)}
+
+
+def test_words_split_and_written_together_cost_nothing():
+    w = WORDS[:20]
+    split = [w[0], *[x for k in w[1:6] for x in ([k[:3], k[3:]] if len(k) > 6 else [k])], *w[6:14], w[14] + w[15], *w[16:20]]
+    text = "αρχή " + " ".join(split) + " τέλος"
+    got, out = found(text, items=((1, " ".join(w)),))
+    assert got == {(0, 1)}
+    r = out.iloc[0]
+    assert text[r["first_char"] : r["end_char"]] == " ".join(split)
+
+
 def test_find_leaks(spark, monkeypatch):
     docs = spark.createDataFrame([(1, PASSAGE, 5), (2, None, 5), (3, "τίποτε", 5), (1, PASSAGE, 5)], "doc_id bigint, text string, item_id int")
-    items = spark.createDataFrame([(7, PASSAGE), (8, None), (9, "άλλα λόγια " * 20)], "item_id bigint, passage string")
-    assert [(r["doc_id"], r["item_id"]) for r in leaks.find_leaks(docs, items).collect()] == [(1, 7), (1, 7)]
-    monkeypatch.setattr(leaks, "ITEM_BLOCK", 1)
-    assert leaks.find_leaks(docs, items).count() == 2
+    items = spark.createDataFrame([(7, PASSAGE), (8, None), (9, "άλλα λόγια " * 20), (10, " ".join(WORDS[5:30]))], "item_id bigint, passage string")
+    whole = sorted(map(tuple, leaks.find_leaks(docs, items).collect()))
+    assert [r[:2] for r in whole] == [(1, 7), (1, 7), (1, 10), (1, 10)]
+    monkeypatch.setattr(leaks, "BLOCK_CHARS", 1)
+    assert sorted(map(tuple, leaks.find_leaks(docs, items).collect())) == whole
     assert leaks.find_leaks(docs.limit(0), items).count() == 0 == leaks.find_leaks(docs, items.limit(0)).count()
+    monkeypatch.setattr(leaks, "MAX_VOCABULARY", 3)
+    with pytest.raises(ValueError, match="distinct words"):
+        leaks.find_leaks(docs, items)
