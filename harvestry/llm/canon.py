@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from harvestry.llm.lookalikes import LOOKALIKES
+from harvestry.session import stored
 
 #: Greek letters in Latin, as depositors write them.
 GREEK_TO_LATIN = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a v g d e z i th i k l m n x o p r s s t y f ch ps o".split(), strict=True))
@@ -87,7 +88,8 @@ def _tokens(s: pd.Series) -> pd.Series:
 
 
 def _ordered(side: DataFrame, key: str, rank: DataFrame) -> DataFrame:
-    """Token lists with the rarest first: ``key, toks, size``."""
+    """Token lists with the rarest first: ``key, toks, size``. Tokens are letter pairs, so there are as many ranks as pairs of
+    letters in use; the planner sends them to all executors while they are small and joins by shuffling beyond that."""
     flat = side.select(key, F.explode("toks").alias("tok")).join(rank, "tok")
     return flat.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("t")).select(key, F.transform("t", lambda x: x["tok"]).alias("toks"), F.size("t").alias("size"))
 
@@ -100,7 +102,7 @@ def similar(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     positional bound are dropped before the exact check. Nothing is capped: a pair at the threshold is always found.
     """
     both = left.select(F.explode("toks").alias("tok")).unionByName(right.select(F.explode("toks").alias("tok")))
-    rank = both.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    rank, _ = stored(both.groupBy("tok").agg(F.count(F.lit(1)).alias("df")), "rank")
     a, b = _ordered(left, "lkey", rank), _ordered(right, "rkey", rank)
     t = F.lit(threshold)
     prefix = lambda: F.slice("toks", F.lit(1), (F.col("size") - F.ceil(t * F.col("size") - 1e-9) + 1).cast("int"))
@@ -136,9 +138,9 @@ def map_values(df: DataFrame, text: str, labels: DataFrame, label_id: str, names
     rows = kept.select(F.col(text).alias("_value"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
     values = rows.groupBy(F.col("_value").alias("_text")).agg(F.lit(1).alias("_1"))
     values = values.join(every.select(F.col("name").alias("_text")).distinct(), "_text", "left_anti")
-    cut = values.select("_text", F.explode_outer(_segments("_text")).alias("lkey"))
-    left = cut.where(F.col("lkey").isNotNull()).select("lkey").distinct().withColumn("toks", _tokens("lkey"))
-    named = every.select("id", F.explode(_segments("name")).alias("rkey"))
+    cut, _ = stored(values.select("_text", F.explode_outer(_segments("_text")).alias("lkey")), "segments")
+    left, _ = stored(cut.where(F.col("lkey").isNotNull()).select("lkey").distinct().withColumn("toks", _tokens("lkey")), "tokens")
+    named, _ = stored(every.select("id", F.explode(_segments("name")).alias("rkey")), "names")
     right = named.select("rkey").distinct().withColumn("toks", _tokens("rkey"))
     best = similar(left, right, threshold).join(named, "rkey").groupBy("lkey").agg(F.max(F.struct("jaccard", (-F.col("id")).alias("minus"))).alias("b"))
     per_text = cut.join(best, "lkey", "left").groupBy("_text").agg(F.max("b").alias("b"))

@@ -22,6 +22,10 @@ SIGNS = {"-": "‐‑‒−﹣", "/": "∕⁄╱", ":": "꞉։∶ː", "'": "’
 INVISIBLE = "­͏؜᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩﻿"
 
 
+#: Tasks that rows without a text are spread over.
+SALTS = 4096
+
+
 @lru_cache(maxsize=1)
 def _tables() -> tuple[list[tuple], list[tuple]]:
     """(decomposition rows, composition rows), built from the Unicode database; bounded by its size (a few thousand).
@@ -108,5 +112,10 @@ def unify(df: DataFrame, text: str, values: DataFrame, value_id: str, value: str
     known = known.groupBy("skeleton").agg(F.min(F.struct("_vid", "_text")).alias("k"))
     forms = one_form(df, text).join(known, "skeleton", "left")
     forms = forms.select("_text", F.col("k._vid").alias("_vid"), F.coalesce("k._text", "canonical").alias("_unified"))
-    rows = df.select(F.col(text).alias("_value"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
-    return rows.join(forms, F.col("_value") == F.col("_text"), "left").select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], F.col("_vid").alias(value_id), F.col("_unified").alias("unified"))
+    kept = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]
+    # rows without a text would all meet in one task of an outer join: they are spread over salts, which no form has
+    salt = F.when(F.col(text).isNull(), F.pmod(F.xxhash64(*keep), F.lit(SALTS - 1)) + 1).otherwise(F.lit(0)) if keep else F.lit(0)
+    rows = df.select(F.coalesce(F.col(text), F.lit("")).alias("_value"), salt.cast("int").alias("_salt"), *kept)
+    forms = forms.withColumn("_zero", F.lit(0))
+    joined = rows.join(forms, (F.col("_value") == F.col("_text")) & (F.col("_salt") == F.col("_zero")), "left")
+    return joined.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], F.col("_vid").alias(value_id), F.col("_unified").alias("unified"))

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from harvestry.llm.canon import map_values, segments, similar, tokens
+from harvestry.llm.canon import GREEK_TO_LATIN, map_values, segments, similar, tokens
 from harvestry.llm.lookalikes import one_form, unify
 
 LABELS = [(1, "Διδακτορική μελέτη", "Doctoral study"), (2, "Ημερολόγιο πεδίου", "Field diary"), (3, None, "Glass plate negative")]
@@ -78,3 +78,48 @@ def test_canonical_is_nfc_without_blanks_at_the_ends(spark):
 def test_tokens_never_fail(text):
     for s in segments(text):
         assert s == s.strip() and len(set(tokens(s))) == len(tokens(s))
+
+
+def _spoilt(rng, name):
+    """A name as it might be typed: letters lost, doubled, swapped or mistaken, words cut off, Greek in Latin letters, other marks."""
+    words = name.split()
+    kind = rng.randrange(6)
+    if kind == 0:
+        return "".join(GREEK_TO_LATIN.get(c, c) for c in unicodedata.normalize("NFD", name.lower()) if not unicodedata.combining(c))
+    if kind == 1 and len(words) > 1:
+        k = rng.randrange(len(words))
+        return " ".join(w[: max(4, len(w) * 2 // 3)] + "." if i == k and len(w) > 6 else w for i, w in enumerate(words))
+    if kind == 2:
+        return name.upper().replace(" ", rng.choice(["  ", "_", " "]))
+    out = list(name)
+    for _ in range(1 if len(name) < 14 else 2):
+        i = rng.randrange(1, len(out) - 1)
+        out[i : i + 1] = rng.choice([[], [out[i], out[i]], [rng.choice("aeioubdαειο")]]) if kind < 5 else [out[i + 1], out[i]]
+    return "".join(out) + rng.choice(["", ", 3", " (pdf)"])
+
+
+def test_threshold_on_held_out_spellings(small):
+    """Recall and precision at the default threshold on spoilt names and on texts that name no type; not the data's own cases."""
+    import inspect
+    import random
+
+    import pandas as pd
+
+    labels = pd.read_parquet(f"{small}/type_labels.parquet")
+    names = [(r.label_id, n) for r in labels.itertuples() for n in (r.label_el, r.label_en) if n]
+    held = pd.read_parquet(f"{small}/collections.parquet")
+    others = sorted({*held["collection_name"].dropna(), *held["institution_name"].dropna(), "Άνοιξη του 1932", "box 23, folder 4", "see the finding aid", "unknown", "ψηφιοποιημένο αντίγραφο", "restricted until 2030"})
+    known = [(i, set(tokens(s))) for i, n in names for s in segments(n)]
+    threshold = inspect.signature(map_values).parameters["threshold"].default
+
+    def best(text):
+        scored = [(len(a & b) / len(a | b), -i) for s in segments(text) for a in [set(tokens(s))] for i, b in known]
+        top = max(scored, default=(0.0, 1))
+        return -top[1] if top[0] >= threshold else -1
+
+    rng = random.Random(11)
+    cases = [(i, _spoilt(rng, n)) for i, n in names for _ in range(8)]
+    right = sum(best(t) == i for i, t in cases)
+    wrong = sum(best(t) not in (i, -1) for i, t in cases) + sum(best(t) != -1 for t in others)
+    print(f"recall {right}/{len(cases)}, wrong {wrong}, others {len(others)}")
+    assert right / len(cases) >= 0.9 and right / (right + wrong) >= 0.9
