@@ -8,7 +8,7 @@ from urllib.parse import parse_qs, urlencode, urljoin, urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, MapType, StringType, StructField, StructType
 
 #: What makes a resolved link a document.
 ACCEPT = [r"\.pdf($|[?#])", r"/bitstreams?/", r"/article/download/", r"/download/", r"/view/manf/", r"viewer\.html\?file=", r"pdfjs"]
@@ -99,8 +99,50 @@ def heading(html: str | None, chain: tuple[tuple[str, tuple[str, ...]], ...]) ->
     return None
 
 
-COLLECTION_CHAIN = (("h1", ("collection-title",)), ("h1", ("title",)), ("h1", ()), ("title", ()))
-INSTITUTION_CHAIN = (("a", ("organisation_title",)), ("h1", ()), ("title", ()))
+def collection_name(html: str | None) -> str | None:
+    """Text of the first heading of a listing page, else null."""
+    return next((n.text() for n in dom(html).find("h1")[:1] if n.text()), None)
+
+
+def institution_name(html: str | None) -> str | None:
+    """The first link of a breadcrumb list, else the institution's name in the page's container, else the element that is
+    marked as the repository's name; null if none has a text."""
+    root = dom(html)
+    crumbs = [a for b in root.find(None, "breadcrumb") for li in b.find("li") for a in li.find("a")]
+    inside = [n for c in root.find(None, attr="id") if c.attrs["id"] == "containerId" for n in c.find(None, "institution-name")]
+    marked = [n for n in root.find(None, attr="data-testid") if n.attrs["data-testid"] == "repository-name"]
+    return next((found[0].text() for found in (crumbs, inside, marked) if found and found[0].text()), None)
+
+
+def named_institution(html: str | None) -> tuple[str | None, str]:
+    """(name, where it stood) on an institution's own page: its title link, else the heading, else the title's last part."""
+    root = dom(html)
+    for where, found in (("link", root.find("a", "organisation_title")), ("heading", root.find("h1"))):
+        if found and found[0].text():
+            return found[0].text(), where
+    title = next((n.text() for n in root.find("title")), "").rpartition("|")[2].strip()
+    return (title, "title") if title else (None, "none")
+
+
+def collection_detail(html: str | None, url: str, pattern: str, unit: str = "τεκμήρια") -> dict | None:
+    """A collection's row from its own page: institution link (by ``pattern``), heading, and items counted in the visible text;
+    None without an institution."""
+    root = dom(html)
+    link = next((a for a in root.find("a", attr="href") if pattern in a.attrs["href"]), None)
+    if link is None:
+        return None
+    last = lambda u: urlsplit(u).path.rstrip("/").rpartition("/")[2]
+    where = urljoin(url, link.attrs["href"])
+    heads, said = root.find("h1"), re.search(rf"([\d.,]+)\s+{unit}", root.text())
+    digits = re.sub("[.,]", "", said[1]) if said else ""
+    return {"institution_slug": last(where), "institution_name": link.text() or last(where), "institution_url": where, "collection_slug": last(url), "collection_name": heads[0].text() if heads else last(url), "collection_url": url, "item_count": int(digits) if digits else None}
+
+
+def page_signs(html: str | None, item: str = "/edm/") -> dict:
+    """What tells listing pages apart: item links, result cards, pagination, and the script's counts (null if absent)."""
+    root, h = dom(html), html or ""
+    js = lambda name: next((int(m) for m in re.findall(rf"var\s+{name}\s*=\s*['\"](\d+)['\"]\s*;", h)), None)
+    return {"links": sum(item in a.attrs["href"] for a in root.find("a", attr="href")), "cards": len(root.find(None, "edm-entity-result")), "pagination": "page.page=" in h, "items_num": js("itemsNum"), "max_pages": js("maxPages")}
 
 
 def pdf_titles(html: str | None) -> list[str]:
@@ -119,22 +161,25 @@ def named_links(html: str | None, base: str, pattern: str) -> list[tuple[str, st
     return list(out.items())
 
 
-def collections_of(html: str | None, base: str) -> list[tuple[str, str, int | None]]:
-    """(url, name, stated items) of every collection title; the count stands within four levels above."""
-    out = []
+def collections_of(html: str | None, base: str, unit: str = "τεκμήρια") -> list[tuple[str, str, int | None]]:
+    """(url, name, stated items) of every collection title, distinct by URL; the count stands in the title's own or one of the
+    three elements around it, before the unit."""
+    out: dict[str, tuple[str, str, int | None]] = {}
     for a in dom(html).find("a", "collection_title", attr="href"):
-        count, n = None, a
+        url, count, n = urljoin(base, a.attrs["href"].strip()), None, a
+        if not a.attrs["href"].strip() or url in out:
+            continue
         for _ in range(4):
-            n = n.parent
-            if n is None:
-                break
-            boxes = [t for d in n.find("div", "collection_type") for t in d.find(None, "lastText")]
+            boxes = n.find("div", "collection_type") if n is not None else []
             if boxes:
-                m = re.search(r"([\d.,]+)", boxes[0].text())
+                last = boxes[0].find(None, "lastText")
+                m = re.search(rf"([\d.,]+)\s+{unit}", (last[0] if last else boxes[0]).text())
                 count = int(re.sub("[.,]", "", m[1])) if m and re.sub("[.,]", "", m[1]) else None
-                break
-        out.append((urljoin(base, a.attrs["href"]), a.text(), count))
-    return out
+                if count is not None:
+                    break
+            n = n.parent if n is not None else None
+        out[url] = (url, a.text() or urlsplit(url).path.rstrip("/").rpartition("/")[2], count)
+    return list(out.values())
 
 
 def external_link(html: str | None, base: str) -> str | None:
@@ -199,6 +244,17 @@ def next_page(url: str) -> str:
 
 
 def _udf(fn, kind, n: int):  # noqa: ANN001, ANN202
+    if isinstance(kind, StructType):
+        rows = lambda found: pd.DataFrame([x or {} for x in found], columns=kind.names).astype({f.name: "Int64" for f in kind if isinstance(f.dataType, LongType)})
+
+        def one_row(a: pd.Series) -> pd.DataFrame:
+            return rows([fn(x) for x in a])
+
+        def two_rows(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+            return rows([fn(x, y) for x, y in zip(a, b, strict=True)])
+
+        return F.pandas_udf(one_row if n == 1 else two_rows, kind)
+
     def one(a: pd.Series) -> pd.Series:
         return pd.Series([fn(x) for x in a])
 
@@ -218,6 +274,14 @@ html_metadata = _udf(metadata_panel, MapType(_S, _S), 1)
 html_documents = _udf(lambda h, b: document_links(h, b or ""), _AS, 2)
 html_external_link = _udf(lambda h, b: external_link(h, b or ""), _S, 2)
 html_pdf_titles = _udf(pdf_titles, _AS, 1)
-html_collection_name = _udf(lambda h: heading(h, COLLECTION_CHAIN), _S, 1)
-html_institution_name = _udf(lambda h: heading(h, INSTITUTION_CHAIN), _S, 1)
+html_collection_name = _udf(collection_name, _S, 1)
+html_institution_name = _udf(institution_name, _S, 1)
+_L = LongType()
+_struct = lambda **kinds: StructType([StructField(k, v) for k, v in kinds.items()])
+html_links = _udf(lambda h, b: links_with(h, b or "", "/edm/"), _AS, 2)
+html_collections = _udf(lambda h, b: [{"url": u, "name": n, "items": c} for u, n, c in collections_of(h, b or "")], ArrayType(_struct(url=_S, name=_S, items=_L)), 2)
+html_institutions = _udf(lambda h, b: [{"url": u, "name": n} for u, n in named_links(h, b or "", "/institutions/")], ArrayType(_struct(url=_S, name=_S)), 2)
+html_named_institution = _udf(lambda h: dict(zip(("name", "found_in"), named_institution(h), strict=True)), _struct(name=_S, found_in=_S), 1)
+html_collection_detail = _udf(lambda h, u: collection_detail(h, u or "", "/institutions/"), _struct(institution_slug=_S, institution_name=_S, institution_url=_S, collection_slug=_S, collection_name=_S, collection_url=_S, item_count=_L), 2)
+html_page_signs = _udf(page_signs, _struct(links=_L, cards=_L, pagination=BooleanType(), items_num=_L, max_pages=_L), 1)
 html_card_count = _udf(lambda h: len(dom(h).find(None, "edm-entity-result")), LongType(), 1)

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 
+MAP_TEXT = "map<string,string>"
+
+
 def strip_accents(text: str) -> str:
     return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn"))
 
@@ -97,3 +100,28 @@ def agent_of(key: Column, agents: list[str]) -> Column:
 
 def jittered(wait: Column, seed: int, low: float = -0.2, high: float = 0.5) -> Column:
     return wait * (1 + F.rand(seed) * (high - low) + low)
+
+
+def json_list(items: Column) -> Column:
+    """A list as JSON text with a blank behind each comma, as the harvest's link columns hold it; null stays null."""
+    return F.when(items.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: F.coalesce(F.regexp_extract(F.to_json(F.array(x)), r"(?s)^\[(.*)\]$", 1), F.lit("null"))), ", "), F.lit("]")))
+
+
+@F.pandas_udf(StringType())
+def percent_text(part: pd.Series, whole: pd.Series) -> pd.Series:
+    """A share as a percentage with one decimal, rounded as C prints it; of nothing it is 0.0%. For small report tables."""
+    return pd.Series([f"{100.0 * p / max(1, w):.1f}%" for p, w in zip(part, whole, strict=True)])
+
+
+def safe_path_name(url: Column) -> Column:
+    """A file name from the last two parts of a URL's path."""
+    parts = F.filter(F.split(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), "/"), lambda x: x != "")
+    return safe_name(F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - 1), F.lit(2)), "_"))
+
+
+@F.pandas_udf(StringType())
+def agent_of_host(host: pd.Series) -> pd.Series:
+    """The user agent that a host always gets; apply it to distinct hosts."""
+    from harvestry.sources.fetch import agent_for
+
+    return host.map(lambda h: agent_for(f"//{h or ''}", "per_domain"))

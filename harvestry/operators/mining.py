@@ -25,7 +25,15 @@ def coverage(values: DataFrame, key: str, value: str, prefix: bool = False) -> D
     return flat.groupBy("token").agg(F.count(F.lit(1)).alias("n")).withColumn("fraction", F.col("n") / F.lit(max(1, total)))
 
 
-def greedy_cover(values: DataFrame, key: str, value: str, fraction: float, max_steps: int = 1000) -> DataFrame:
+def ranked(tokens: DataFrame) -> DataFrame:
+    """``rank`` from 1 by coverage, then by token, counted over ranges of tokens."""
+    from harvestry.functions.prefix import running_total
+
+    numbered = running_total(tokens.withColumn("_less", -F.col("n")).withColumn("_one", F.lit(1)), ["_less", "token"], "_one", "rank")
+    return numbered.withColumn("rank", (F.col("rank") + 1).cast("long")).drop("_less", "_one")
+
+
+def greedy_cover(values: DataFrame, key: str, value: str, fraction: float) -> DataFrame:
     """``step, token, gain, covered``: tokens that cover the fraction of values, by greatest gain at each step.
 
     Ties: the larger coverage, then the smaller token. Each step is one aggregation over the pairs still uncovered;
@@ -36,7 +44,7 @@ def greedy_cover(values: DataFrame, key: str, value: str, fraction: float, max_s
     size = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
     target, covered, out = int(fraction * values.count()), 0, []
     left = pairs
-    while covered < target and len(out) < max_steps:
+    while covered < target:
         best = left.groupBy("token").agg(F.count(F.lit(1)).alias("gain")).join(size, "token").orderBy(F.desc("gain"), F.desc("size"), "token").limit(1).collect()
         if not best:
             break

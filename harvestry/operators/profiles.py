@@ -34,13 +34,37 @@ def collection_summary(df: DataFrame, top_n: int = 5, slug: str = "collection_sl
     )
 
 
-def error_rate(df: DataFrame, by: list[str]) -> DataFrame:
-    """Percent of rows that aren't 200, leaving out -3 and 404; 0 if nothing is left."""
+def error_rate(df: DataFrame, by: list[str], groups: DataFrame | None = None) -> DataFrame:
+    """Percent of rows that aren't 200, leaving out -3 and 404; 0 if nothing is left. Of ``groups`` (distinct ``by``), one
+    without any row is at 100."""
     counted = ~F.coalesce(F.col("status_code").isin(-3, 404), F.lit(False))
     n, ok = count_when(counted), count_when(F.col("status_code") == 200)
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), n.alias("n_counted"), ok.alias("n_ok")).withColumn(
-        "error_pct", F.when(F.col("n_counted") == 0, 0.0).otherwise((F.col("n_counted") - F.col("n_ok")) * 100.0 / F.col("n_counted"))
-    )
+    out = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), n.alias("n_counted"), ok.alias("n_ok"))
+    if groups is not None:
+        g = groups.select(*[F.col(c).alias(f"_g_{c}") for c in by])
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+        zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+        out = g.join(out, same, "left").select(*[F.col(f"_g_{c}").alias(c) for c in by], zero("n_rows"), zero("n_counted"), zero("n_ok"))
+    pct = F.when(F.col("n_rows") == 0, 100.0).when(F.col("n_counted") == 0, 0.0).otherwise((F.col("n_counted") - F.col("n_ok")) * 100.0 / F.col("n_counted"))
+    return out.withColumn("error_pct", pct)
+
+
+def merge_summaries(old: DataFrame, new: DataFrame, key: str, largest: list[str], first: list[str]) -> DataFrame:
+    """Old and new summaries in one: the largest of the numeric columns, the first known value (old before new) of the others."""
+    both = old.select(key, *largest, *first, F.lit(0).alias("_src")).unionByName(new.select(key, *largest, *first, F.lit(1).alias("_src")))
+    return both.groupBy(key).agg(*[F.max(c).alias(c) for c in largest], *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_src"))).alias(c) for c in first])
+
+
+def fleet_rollup(workers: DataFrame, queued: DataFrame | None = None) -> DataFrame:
+    """One row over ``workers(target, attempted, speed)``: how many, what remains of theirs and of the ``queued(target)``, their
+    speed together, and the time that takes (0 without speed)."""
+    left = F.greatest(F.lit(0), F.coalesce("target", "attempted") - F.col("attempted"))
+    g = workers.agg(F.count(F.lit(1)).alias("workers"), F.coalesce(F.sum(left), F.lit(0)).alias("remaining"), F.coalesce(F.sum(F.greatest(F.lit(0.0), F.col("speed"))), F.lit(0.0)).alias("speed"))
+    waiting = queued.agg(F.coalesce(F.sum("target"), F.lit(0)).alias("queued")) if queued is not None else g.sparkSession.range(1).select(F.lit(0).cast("long").alias("queued"))
+    j = g.join(waiting, F.lit(True))  # one row each
+    return j.select("workers", "remaining", "queued", "speed", F.when(F.col("speed") > 1e-6, (F.col("remaining") + F.col("queued")) / F.col("speed")).otherwise(0.0).alias("eta_s"))
 
 
 def error_analysis(df: DataFrame, slug: str = "collection_slug") -> DataFrame:
@@ -74,10 +98,23 @@ def top_counts(df: DataFrame, by: str, n: int) -> DataFrame:
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles (linear) and maximum."""
+    """Count, mean, sample deviation, minimum, quartiles (linear) and maximum.
+
+    The quartiles are exact: equal values are counted, their counts prefix-summed over ranges, and only the two values next to
+    each quartile come together; no task holds all values.
+    """
+    from harvestry.functions.prefix import running_total
+
     c = F.col(col)
-    q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), q.alias("q"), F.max(c).alias("max")).select("n", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
+    basic = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    counts = df.where(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    placed = running_total(counts, ["v"], "k", "before")
+    marks = basic.select("n", F.explode(F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("p")).withColumn("at", (F.col("n") - 1) * F.col("p"))  # three rows
+    near = placed.join(F.broadcast(marks), (F.col("before") <= F.ceil("at")) & (F.col("before") + F.col("k") > F.floor("at")))
+    low, high = F.max(F.when(F.col("before") <= F.floor("at"), F.col("v"))), F.max("v")
+    share = F.first("at") - F.floor(F.first("at"))
+    q = near.groupBy("p").agg((low + (high - low) * share).alias("q")).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return basic.join(q, F.lit(True)).select("n", "mean", "std", "min", "p25", "p50", "p75", "max")  # one row each
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -45,6 +45,14 @@ def sampled(counts: DataFrame, every: int = 100) -> DataFrame:
     return counts.where(F.col("completed") % every == 0)
 
 
+def progress_marks(counts: DataFrame, run: str, every: int = 10) -> DataFrame:
+    """``run, pct, completed``: where each run first reached each mark of its work, in steps of ``every`` percent."""
+    totals = counts.groupBy(F.col(run).alias("_r")).agg(F.max("completed").alias("_total"))
+    marks = totals.select("_r", "_total", F.explode(F.sequence(F.lit(every), F.lit(100), F.lit(every))).alias("pct")).withColumn("_need", F.greatest(F.lit(1), F.floor(F.col("pct") * F.col("_total") / 100.0)))
+    j = counts.select(run, "completed").join(F.broadcast(marks), counts[run].eqNullSafe(F.col("_r")) & (F.col("completed") == F.col("_need")))  # a few rows per run
+    return j.groupBy(run, "pct").agg(F.min("completed").alias("completed"))
+
+
 def deltas(samples: DataFrame, run: str) -> DataFrame:
     """Change of the failure percent since the last sample and per request; the first is against 0. A run's samples are
     compared inside their blocks; only each block's last sample is carried to the next."""

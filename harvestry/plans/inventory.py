@@ -9,34 +9,19 @@ from harvestry.functions import html as H
 from harvestry.functions import text as T
 from harvestry.operators import labels, mining, planning, profiles, runs
 from harvestry.plans.pages import item_pages
-from harvestry.plans.reference import A01, OK, SAMPLES, parts, rule_lines, samples, x
+from harvestry.plans.reference import A01, NG, OK, SAMPLES, rule_lines, samples, x
 from harvestry.plans.registry import Registry, table
-from harvestry.sources.tables import last_sample, overrides
+from harvestry.sources.tables import overrides
 
 R = Registry()
 CONFIG = '{"thymari_hub": {"per_concurrency": 5, "wait": 9.0}, "ydria_theses": {"per_concurrency": 2, "wait": 1.0, "force_http1": true}, "thymari_hub": {"per_concurrency": 3, "wait": 0.5, "retries": 2}}'
 
 
-@R.add("s07_metrics_snapshot", f"SELECT run, completed, CAST(failed AS BIGINT) AS failed, round(fail_pct, 6) AS fail_pct FROM {SAMPLES} QUALIFY row_number() OVER (PARTITION BY run ORDER BY completed DESC) = 1")
-def s07(spark, d):
-    m = samples(spark, d).select("run", "completed", "failed", "fail_pct").withColumn("t_epoch", F.lit(0))
-    return last_sample(m, "run").select("run", "completed", "failed", F.round("fail_pct", 6).alias("fail_pct"))
-
-
 @R.add("s10_lint_lines", "SELECT label_id AS line, label_el AS token, label_en AS target, true AS marked FROM type_labels")
 def s10(spark, d):
     return labels.parse_lint_lines(rule_lines(spark, d))
 
 
-@R.add("s12_frequency_document", "SELECT type AS value, count(*) AS n FROM edm_labeled WHERE type IS NOT NULL GROUP BY type")
-def s12(spark, d):
-    """Counts written as JSON pairs and read again, a document per first letter."""
-    counts = table(spark, d, "edm_labeled").where("type IS NOT NULL").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
-    docs = counts.groupBy(F.substring("type", 1, 1).alias("k")).agg(F.to_json(F.struct(F.collect_list(F.array("type", F.col("n").cast("string"))).alias("values_sorted"))).alias("j"))
-    pairs = docs.select(F.explode(F.from_json("j", "values_sorted array<array<string>>")["values_sorted"]).alias("p"))
-    return pairs.select(F.col("p")[0].alias("value"), F.col("p")[1].cast("bigint").alias("n"))
-
-
 @R.add("effective_settings", """WITH o AS (SELECT * FROM (VALUES ('thymari_hub', 3, 0.5, 2), ('ydria_theses', 2, 1.0, NULL)) v(slug, c, w, r)) SELECT DISTINCT collection_slug, CAST(coalesce(c, 15) AS INTEGER) AS per_concurrency, CAST(coalesce(w, 0.3) AS DOUBLE) AS wait, CAST(coalesce(r, 0) AS INTEGER) AS retries FROM collections LEFT JOIN o ON slug = collection_slug""")
 def effective_settings(spark, d):
     o = F.broadcast(overrides(spark, CONFIG))  # a configuration: a row per named collection
@@ -78,13 +63,6 @@ def a23(spark, d):
     return samples(spark, d).groupBy("run").agg(F.max("completed").alias("completed"), F.max("failed").alias("failed"), r(F.max_by("fail_pct", "completed"), "final_pct"), r(F.avg("fail_pct"), "mean_pct"), r(F.stddev_samp("fail_pct"), "std_pct"), r(F.min("fail_pct"), "min_pct"), r(F.max("fail_pct"), "max_pct"))
 
 
-@R.add("a26_fleet_rollup", "SELECT count(*) AS workers, CAST(sum(remaining) AS BIGINT) AS remaining, round(sum(speed), 6) AS speed FROM (SELECT collection_slug, count(*) FILTER (WHERE status_code = -3) AS remaining, count(*) FILTER (WHERE status_code <> -3) / greatest(sum(elapsed_s), 0.001) AS speed FROM external_pdfs GROUP BY 1)")
-def a26(spark, d):
-    s = F.col("status_code")
-    per = x(spark, d).groupBy("collection_slug").agg(profiles.count_when(s == -3).alias("remaining"), (profiles.count_when(s != -3) / F.greatest(F.sum("elapsed_s"), F.lit(0.001))).alias("speed"))
-    return per.agg(F.count(F.lit(1)).alias("workers"), F.sum("remaining").alias("remaining"), F.round(F.sum("speed"), 6).alias("speed"))
-
-
 @R.add("a29_rule_statistics", "SELECT count(*) AS rules, count(DISTINCT label_el) AS tokens, count(DISTINCT label_en) AS targets, count(*) AS marked FROM type_labels")
 def a29(spark, d):
     r = labels.parse_lint_lines(rule_lines(spark, d))
@@ -97,12 +75,6 @@ def a30(spark, d):
     return g.where(F.size("counts") > 1)
 
 
-@R.add("a33_table_shape", "SELECT (SELECT count(*) FROM external_pdfs) AS n_rows, CAST((SELECT count(*) FROM (DESCRIBE external_pdfs)) AS INTEGER) AS n_columns")
-def a33(spark, d):
-    t = x(spark, d)
-    return t.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(t.columns)))
-
-
 @R.add("w07_moving_projection", f"SELECT run, round((max(failed) - min(failed)) / greatest(1, max(completed) - min(completed)) * 830313, 3) AS projected FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY completed DESC) AS r FROM {SAMPLES}) WHERE r <= 10 GROUP BY run")
 def w07(spark, d):
     return runs.moving_rate(samples(spark, d), "run").select("run", F.round(F.col("moving_rate") * 830_313, 3).alias("projected"))
@@ -175,27 +147,12 @@ def x20(spark, d):
     return table(spark, d, "type_labels").select("label_id", (a.contains(b) | b.contains(a)).alias("c"))
 
 
-@R.add("x22_agent_of_key")
-def x22(spark, d):
-    return table(spark, d, "collections").select("collection_slug", T.agent_of(F.col("collection_slug"), ["agent a", "agent b", "agent c"]).alias("agent")).distinct()
-
-
-@R.add("x24_jitter")
-def x24(spark, d):
-    return table(spark, d, "collections").select("collection_slug", T.jittered(F.lit(0.3), 7).alias("wait"))
-
-
 @R.add("x28_title_part", "SELECT row_id, coalesce(collection_slug, 'none') AS title FROM edm_labeled")
 def x28(spark, d):
     title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
     return item_pages(spark, d).select("row_id", F.trim(F.element_at(F.split(title, r"\|"), -1)).alias("title"))
 
 
-@R.add("x31_rounding", "SELECT row_id, round(elapsed_s, 1) AS a, printf('%.1f', round(elapsed_s, 3)) IS NOT NULL AS b, CAST(ceil(coalesce(retries, 0) / 3.0) AS BIGINT) AS c FROM external_pdfs WHERE elapsed_s IS NOT NULL")
-def x31(spark, d):
-    return x(spark, d).where("elapsed_s IS NOT NULL").select("row_id", F.round("elapsed_s", 1).alias("a"), F.format_string("%.1f", F.col("elapsed_s")).isNotNull().alias("b"), F.ceil(F.coalesce("retries", F.lit(0)) / 3.0).cast("long").alias("c"))
-
-
 @R.add("x29_model_functions", f"SELECT run, completed, round(0.5 * exp(-0.0001 * completed) + 3, 8) AS exponential, round(0.5 * pow(completed, 0.25) + 3, 8) AS power FROM {SAMPLES}")
 def x29(spark, d):
     c = F.col("completed")
@@ -244,13 +201,6 @@ def h21(spark, d):
     return listing_pages(spark, d).select("collection_slug", H.html_text("html").alias("text"))
 
 
-@R.add("h22_sentinel_report", f"SELECT collection_slug, n > 30 AS links_differ, n AS first_cards FROM {LISTING}")
-def h22(spark, d):
-    """The page against one with thirty cards: whether the number of items differs upwards."""
-    p = listing_pages(spark, d)
-    return p.select("collection_slug", (H.html_card_count("html") > 30).alias("links_differ"), H.html_card_count("html").alias("first_cards"))
-
-
 @R.add("h15_accept_patterns", "SELECT row_id, list_transform(CAST(from_json(pdf_links_json, '[\"VARCHAR\"]') AS VARCHAR[]), lambda u: regexp_matches(u, '(?i)(\\.pdf($|[?#])|/bitstreams?/|/article/download/|/download/|/view/manf/|viewer\\.html\\?file=|pdfjs)')) AS accepted FROM external_pdfs WHERE pdf_links_json IS NOT NULL")
 def h15(spark, d):
     pattern = "(?i)(" + "|".join(H.ACCEPT) + ")"
@@ -260,11 +210,6 @@ def h15(spark, d):
 # ---- labelling, mining, models, control ------------------------------------------------------------------------------
 
 
-@R.add("l08_short_tokens", "SELECT value_id FROM type_values WHERE length(value) <= 8")
-def l08(spark, d):
-    return table(spark, d, "type_values").where(F.length("value") <= 8).select("value_id")
-
-
 @R.add("l09_token_mismatch")
 def l09(spark, d):
     r = labels.parse_lint_lines(rule_lines(spark, d)).withColumn("ratio", T.similarity("token", "target"))
@@ -272,7 +217,7 @@ def l09(spark, d):
     return r.where(~a.contains(b) & ~b.contains(a) & (F.col("ratio") < 0.5)).select("line", "token", "target")
 
 
-@R.add("t02_ngrams")
+@R.add("t02_ngrams", f"SELECT value_id, token FROM {NG}")
 def t02(spark, d):
     return table(spark, d, "type_values").select("value_id", F.explode(mining.stems(F.col("value"))).alias("token"))
 
@@ -299,22 +244,6 @@ def d09(spark, d):
     return line.select("run", F.col("x").cast("long").alias("x"), F.round(F.col("intercept") + F.col("slope") * F.col("x"), 3).alias("y"))
 
 
-@R.add("z06_retry_decision", f"WITH e AS (SELECT collection_slug, count(*) FILTER (WHERE NOT coalesce(status_code IN (-3, 404), false)) AS n, count(*) FILTER (WHERE status_code = 200) AS ok FROM external_pdfs GROUP BY 1), t AS (SELECT collection_slug, count(DISTINCT external_link) AS target FROM edm_labeled GROUP BY 1), u AS (SELECT collection_slug, count(DISTINCT external_link) AS seen FROM external_pdfs WHERE status_code <> -3 GROUP BY 1) SELECT e.collection_slug, n > 0 AND (n - ok) * 100.0 / n >= 5 AND coalesce(seen, 0) < target AS retry FROM e JOIN t ON e.collection_slug = t.collection_slug LEFT JOIN u ON e.collection_slug = u.collection_slug")
-def z06(spark, d):
-    e = profiles.error_rate(x(spark, d), ["collection_slug"]).select("collection_slug", "error_pct")
-    t = table(spark, d, "edm_labeled").groupBy("collection_slug").agg(F.count_distinct("external_link").alias("target"))
-    u = x(spark, d).where("status_code <> -3").groupBy("collection_slug").agg(F.count_distinct("external_link").alias("seen"))
-    return e.join(t, "collection_slug").join(u, "collection_slug", "left").select("collection_slug", ((F.col("error_pct") >= 5) & (F.coalesce("seen", F.lit(0)) < F.col("target"))).alias("retry"))
-
-
-@R.add("z12_eta_fallback", "SELECT collection_slug, round(coalesce(nullif(CASE WHEN n > 10 THEN total * 1.0 / n END, 0), remaining / nullif(speed, 0)), 6) AS eta FROM (SELECT collection_slug, count(*) AS n, sum(elapsed_s) AS total, count(*) FILTER (WHERE status_code = -3) AS remaining, count(*) / nullif(sum(elapsed_s), 0) AS speed FROM external_pdfs GROUP BY 1)")
-def z12(spark, d):
-    g = x(spark, d).groupBy("collection_slug").agg(F.count(F.lit(1)).alias("n"), F.sum("elapsed_s").alias("total"), profiles.count_when(F.col("status_code") == -3).alias("remaining"))
-    told = F.nullif(F.when(F.col("n") > 10, F.col("total") / F.col("n")), F.lit(0.0))
-    speed = F.nullif(F.col("n") / F.nullif(F.col("total"), F.lit(0.0)), F.lit(0.0))
-    return g.select("collection_slug", F.round(F.coalesce(told, F.col("remaining") / speed), 6).alias("eta"))
-
-
 @R.add("z13_failish_share", "WITH b AS (SELECT collection_slug, external_link, arg_min(status_code, (CASE WHEN status_code = 200 THEN 0 WHEN status_code = 404 THEN 1 WHEN status_code >= 500 THEN 2 WHEN status_code < 0 THEN 3 ELSE 4 END) * 10000000000 + row_id) AS s FROM external_pdfs WHERE external_link IS NOT NULL AND status_code <> -3 GROUP BY 1, 2) SELECT collection_slug, count(*) AS attempted, round(count(*) FILTER (WHERE s < 0 OR (s >= 400 AND s <> 404)) * 100.0 / count(*), 6) AS fail_pct FROM b GROUP BY 1")
 def z13(spark, d):
     rows = x(spark, d).where("external_link IS NOT NULL AND status_code <> -3")
@@ -323,18 +252,12 @@ def z13(spark, d):
     return b.groupBy("collection_slug").agg(F.count(F.lit(1)).alias("attempted"), F.round(profiles.count_when((s < 0) | ((s >= 400) & (s != 404))) * 100.0 / F.count(F.lit(1)), 6).alias("fail_pct"))
 
 
-@R.add("o01_multi_key_sort", f"SELECT collection_slug, total FROM ({A01}) ORDER BY total DESC, collection_slug LIMIT 50")
+@R.add("o01_multi_key_sort", f"SELECT collection_slug, total FROM ({A01}) ORDER BY total DESC, collection_slug")
 def o01(spark, d):
-    return profiles.language_shares(table(spark, d, "edm_labeled")).select("collection_slug", "total").orderBy(F.desc("total"), "collection_slug").limit(50)
+    return profiles.language_shares(table(spark, d, "edm_labeled")).select("collection_slug", "total").orderBy(F.desc("total"), "collection_slug")
 
 
 @R.add("u06_append_skipped", f"SELECT row_id, status_code FROM external_pdfs WHERE {OK} UNION ALL SELECT row_id, -3 FROM external_pdfs WHERE NOT {OK}")
 def u06(spark, d):
     rows, ok = x(spark, d).select("row_id", "status_code"), F.coalesce(F.col("status_code") == 200, F.lit(False))
     return rows.where(ok).unionByName(rows.where(~ok).select("row_id", F.lit(-3).cast("long").alias("status_code")))
-
-
-@R.add("k11_parts_kept", "SELECT count(*) AS n FROM external_pdfs")
-def k11(spark, d):
-    old, new = parts(spark, d)
-    return old.select("row_id").unionByName(new.select("row_id")).agg(F.count(F.lit(1)).alias("n"))

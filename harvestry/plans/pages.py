@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +10,8 @@ from harvestry.functions import text as T
 from harvestry.operators import runs
 from harvestry.plans.reference import KEY, OK, SRC, parts, samples, x
 from harvestry.plans.registry import Registry, table
-from harvestry.session import shared_dir
-from harvestry.sources import fetch, sinks, tables
+from harvestry.session import new_path
+from harvestry.sources import sinks, tables
 from harvestry.streaming import live
 
 R = Registry()
@@ -52,12 +50,6 @@ def h07(spark, d):
     return item_pages(spark, d).select("row_id", H.html_pdf_titles("html").alias("titles"))
 
 
-@R.add("h05_headings", "SELECT row_id, 'H' AS collection_name, 'H' AS institution_name FROM edm_labeled")
-def h05(spark, d):
-    p = item_pages(spark, d)
-    return p.select("row_id", H.html_collection_name("html").alias("collection_name"), H.html_institution_name("html").alias("institution_name"))
-
-
 @R.add("h20_anchors", "SELECT row_id, CAST(4 + CASE WHEN external_link <> '' THEN 1 ELSE 0 END AS INTEGER) AS n, CASE WHEN external_link <> '' THEN external_link ELSE '../bitstream/' || row_id || '/1.pdf' END AS first FROM edm_labeled")
 def h20(spark, d):
     a = item_pages(spark, d).select("row_id", H.html_anchors("html").alias("a"))
@@ -95,28 +87,9 @@ def x25(spark, d):
     return samples(spark, d).select("run", "completed", T.progress_bar(F.col("completed"), F.lit(10000)).alias("bar"), T.eta_text(F.col("completed")).alias("eta"))
 
 
-@R.add("s14_fetch_snapshots", f"SELECT external_link AS url, min(CASE WHEN {OK} THEN 200 ELSE 404 END) AS status_code FROM external_pdfs WHERE external_link <> '' GROUP BY 1")
-def s14(spark, d):
-    """Every URL through the fetch operator, answered from what is known of it."""
-    known = x(spark, d).where("external_link <> ''").groupBy("external_link").agg(F.max((F.col("status_code") == 200)).alias("ok"))
-    urls = known.select(F.concat(F.when(F.coalesce("ok", F.lit(False)), "200 ").otherwise("404 "), F.col("external_link")).alias("url"))
-    got = fetch.fetch(urls, lambda u: (int(u[:3]), "body", None), retries=2)
-    return got.select(F.substring("url", 5, 10_000).alias("url"), F.col("status_code"))
-
-
-@R.add("s04_shard_scan", f"SELECT regexp_extract(shard, '__([0-9]{{6}})', 1) AS month, count(*) AS n FROM external_pdfs GROUP BY 1")
-def s04(spark, d):
-    """The rows written as one folder of files per month and read again through the shard scan."""
-    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
-    rows = x(spark, d).select("row_id", "status_code", F.regexp_extract("shard", r"__(\d{6})", 1).alias("month"))
-    rows.repartition("month").write.partitionBy("month").parquet(path)
-    back = tables.shard_scan(spark, path)
-    return back.groupBy(F.col("month").cast("string").alias("month")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @R.add("s05_metrics_csv", f"WITH r AS (SELECT {SRC} AS run, row_number() OVER (PARTITION BY {SRC} ORDER BY row_id) AS completed FROM external_pdfs) SELECT completed, count(*) AS n FROM r WHERE completed % 100 = 0 GROUP BY 1")
 def s05(spark, d):
-    path = f"{shared_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    path = new_path(spark, "metrics")
     s = samples(spark, d)
     zero = F.lit(0).cast("long")
     s.select(zero.alias("t_epoch"), "completed", "failed", "fail_pct", F.lit(1.0).alias("speed_ps"), zero.alias("eta_s"), zero.alias("remaining")).write.option("header", "true").csv(path)
@@ -128,47 +101,44 @@ def k04(spark, d):
     """The master is written, then the shards are merged into it; the table is read from where it was swapped in."""
     from harvestry.operators.merge import best_of, fetch_order
 
-    path = f"{shared_dir(spark)}/master-{uuid.uuid4().hex}"
+    path = new_path(spark, "master")
     old, new = (best_of(p.select(*KEY, "status_code", "retries", "row_id"), KEY, fetch_order("row_id")) for p in parts(spark, d))
     sinks.swap(old, path)
     sinks.merge_into(new, path, KEY)
     return spark.read.parquet(path).select(*KEY, "status_code", "row_id")
 
 
-def streamed(spark, df: DataFrame, label: str) -> DataFrame:
-    """A table as a file stream."""
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+def streamed(spark, df: DataFrame, label: str, files: int = 0) -> DataFrame:
+    """A table as a file stream, with so many files in a micro-batch (all if 0)."""
+    path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.readStream.schema(df.schema).parquet(path)
+    reader = spark.readStream.schema(df.schema)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
 
 
-@R.add("z02_checkpoint_merge", f"SELECT collection_slug, page_number, edm_url, status_code FROM (SELECT *, row_number() OVER (PARTITION BY collection_slug, page_number, edm_url ORDER BY {OK} DESC, coalesce(retries, 0) DESC, row_id DESC) AS r FROM external_pdfs) WHERE r = 1")
+@R.add("z02_checkpoint_merge", f"SELECT collection_slug, page_number, edm_url, status_code, row_id FROM (SELECT *, row_number() OVER (PARTITION BY collection_slug, page_number, edm_url ORDER BY {OK} DESC, coalesce(retries, 0) DESC, row_id DESC) AS r FROM external_pdfs) WHERE r = 1")
 def z02(spark, d):
-    """One result per key and outcome, streamed into the master by merging micro-batches."""
-    from harvestry.operators.merge import best_of, fetch_order
-
-    path = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
-    rows = best_of(x(spark, d).select(*KEY, "status_code", "retries", "row_id"), KEY, fetch_order("row_id"))
-    live.checkpoint_merge(streamed(spark, rows, "results"), f"{path}/master", f"{path}/log", once=True).awaitTermination()
-    return spark.read.parquet(f"{path}/master").select(*KEY, "status_code")
+    """All results as they came, repeated ones too, streamed into the master in several merging micro-batches."""
+    path = new_path(spark, "live")
+    rows = x(spark, d).select(*KEY, "status_code", "retries", "row_id")
+    stream = streamed(spark, rows.repartitionByRange(3, "row_id"), "results", files=1)
+    live.checkpoint_merge(stream, f"{path}/master", f"{path}/log", once=True, arrival="row_id").awaitTermination()
+    return spark.read.parquet(f"{path}/master").select(*KEY, "status_code", "row_id")
 
 
 @R.add("z16_failure_windows", "SELECT CAST(fetched_at AS DATE) AS start, count(*) AS n, count(*) FILTER (WHERE status_code IS DISTINCT FROM 200) AS failed FROM external_pdfs WHERE fetched_at IS NOT NULL GROUP BY 1")
 def z16(spark, d):
     rows = x(spark, d).where("fetched_at IS NOT NULL").select("fetched_at", "status_code")
-    name = f"w{uuid.uuid4().hex}"
-    windows = live.failure_windows(streamed(spark, rows, "events"), "fetched_at", "status_code", "1 day", late="100000 days")
-    windows.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select(F.col("start").cast("date").alias("start"), "n", "failed")
+    windows = live.failure_windows(streamed(spark, rows, "events"), "fetched_at", "status_code", "1 day", late="30 days")
+    told = live.drain(windows, new_path(spark, "windows"), "update")
+    return told.groupBy(F.col("start").cast("date").alias("start")).agg(F.max("n").alias("n"), F.max_by("failed", "n").alias("failed"))
 
 
-@R.add("z03_live_streaks")
+@R.add("z03_live_streaks", "WITH n AS (SELECT collection_slug, row_id, status_code IS NOT DISTINCT FROM -1 AS hit, row_number() OVER (PARTITION BY collection_slug ORDER BY row_id) AS k FROM external_pdfs WHERE collection_slug IS NOT NULL), s AS (SELECT *, k - coalesce(max(CASE WHEN NOT hit THEN k END) OVER (PARTITION BY collection_slug ORDER BY row_id), 0) AS streak FROM n) SELECT collection_slug, arg_max(streak, row_id) AS streak, max(streak) >= 3 AS tripped FROM s GROUP BY 1")
 def z03(spark, d):
+    """The streaks at the end of the stream; a key's rows of one micro-batch count in order."""
     rows = x(spark, d).where("collection_slug IS NOT NULL").select("collection_slug", "row_id", "status_code")
-    name = f"t{uuid.uuid4().hex}"
-    s = live.live_streaks(streamed(spark, rows, "fetches"), "collection_slug", "row_id")
-    s.writeStream.format("memory").queryName(name).outputMode("update").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    return live.drain(live.live_streaks(streamed(spark, rows, "fetches"), "collection_slug", "row_id"), new_path(spark, "streaks"), "update")
 
 
 @R.add("w12_negative_streaks")

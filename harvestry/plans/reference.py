@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions import text as T
-from harvestry.functions.urls import domain_of, last_segment, page_of
+from harvestry.functions.urls import domain_of, last_segment
 from harvestry.operators import labels, merge, mining, planning, profiles, runs
 from harvestry.plans.registry import Registry, table
-from harvestry.sources.tables import ensure_columns, last_sample
+from harvestry.sources.tables import ensure_columns
 
 R = Registry()
 KEY = ["collection_slug", "page_number", "edm_url"]
@@ -54,12 +54,6 @@ def s03(spark, d):
     return ensure_columns(table(spark, d, "collections").select("collection_slug", "item_count"), {"retries": F.lit(0).cast("long"), "pct_ELL": F.lit(0.0), "item_count": F.lit(0)})
 
 
-@R.add("s06_last_metrics_line", f"WITH r AS (SELECT {SRC} AS run, row_number() OVER (PARTITION BY {SRC} ORDER BY row_id) AS completed, {OK} AS ok, row_id FROM external_pdfs), s AS (SELECT run, completed, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY run ORDER BY row_id) AS failed FROM r) SELECT CAST(run AS INTEGER) AS run, CAST(completed AS BIGINT) AS completed, CAST(failed AS BIGINT) AS failed FROM s WHERE completed % 100 = 0 QUALIFY row_number() OVER (PARTITION BY run ORDER BY completed DESC) = 1")
-def s06(spark, d):
-    m = samples(spark, d).withColumn("t_epoch", F.lit(0))
-    return last_sample(m.select("run", "completed", "failed", "t_epoch"), "run").select("run", "completed", "failed")
-
-
 @R.add("s09_type_rules", "SELECT label_el AS token, label_en AS label, [label_el, label_en] AS \"values\", label_id AS ord FROM type_labels")
 def s09(spark, d):
     return labels.parse_type_rules(rule_lines(spark, d))
@@ -137,10 +131,10 @@ def m08(spark, d):
     return x(spark, d).where("status_code = 200").agg(F.count_distinct("collection_slug", "page_number").alias("n_pages"))
 
 
-@R.add("m09_list_dedupe", "SELECT row_id, CAST(len(list_distinct(CAST(from_json(pdf_links_json, '[\"VARCHAR\"]') AS VARCHAR[]))) AS BIGINT) AS n FROM external_pdfs WHERE pdf_links_json IS NOT NULL")
+@R.add("m09_list_dedupe", "SELECT row_id, list_filter(l, lambda u, i: list_position(l, u) = i) AS links FROM (SELECT row_id, CAST(from_json(pdf_links_json, '[\"VARCHAR\"]') AS VARCHAR[]) AS l FROM external_pdfs WHERE pdf_links_json IS NOT NULL)")
 def m09(spark, d):
     links = F.array_distinct(F.from_json("pdf_links_json", "array<string>"))
-    return x(spark, d).where("pdf_links_json IS NOT NULL").select("row_id", F.size(links).cast("long").alias("n"))
+    return x(spark, d).where("pdf_links_json IS NOT NULL").select("row_id", links.alias("links"))
 
 
 @R.add("m10_page_state", best_sql("collection_slug, page_number", "meta_id DESC", "collection_slug, page_number, status_code, retries, meta_id", "(SELECT * FROM edm_metadata_full WHERE page_number > 0 AND collection_slug IS NOT NULL)"))
@@ -310,12 +304,39 @@ def token_rules(spark, d) -> DataFrame:
 
 @R.add("j12_near_tokens", f"SELECT a, b, CAST(d AS BIGINT) AS d FROM {NEAR} WHERE d BETWEEN 1 AND 2")
 def j12(spark, d):
-    return labels.lint(token_rules(spark, d)).where("kind = 'near tokens'").select("a", "b", F.col("value").alias("d"))
+    return labels.near_tokens(token_rules(spark, d))
+
+
+#: Rule lines with what a lint has to find: short tokens, repeated ones, targets alike but for case, marks on a third.
+LINT_RULES = f"""(SELECT value_id AS line, t AS token, CASE WHEN value_id % 7 = 0 THEN upper(value) ELSE value END AS target, value_id % 3 = 0 AS marked FROM
+ (SELECT *, CASE WHEN value_id % 5 = 0 THEN substr(value, 1, 2) WHEN value_id % 11 = 0 THEN 'xyz' ELSE value END AS t FROM (SELECT * FROM type_values UNION ALL SELECT value_id + 100000, value FROM type_values WHERE value_id % 13 = 0)) WHERE t NOT LIKE '%-%' AND value NOT LIKE '%:%' AND value NOT LIKE '%-%')"""
+
+
+def lint_rules(spark, d) -> DataFrame:
+    """The same, written as rule lines and parsed."""
+    v = table(spark, d, "type_values")
+    v = v.unionByName(v.where("value_id % 13 = 0").withColumn("value_id", F.col("value_id") + 100_000))
+    i = F.col("value_id")
+    t = F.when(i % 5 == 0, F.substring("value", 1, 2)).when(i % 11 == 0, "xyz").otherwise(F.col("value"))
+    kept = v.withColumn("t", t).where("t NOT LIKE '%-%' AND value NOT LIKE '%:%' AND value NOT LIKE '%-%'")
+    line = F.concat(F.when(i % 3 == 0, "[[X]] ").otherwise(""), F.col("t"), F.lit(" -> "), F.when(i % 7 == 0, F.upper("value")).otherwise(F.col("value")), F.lit(' : ["v"]'))
+    return labels.parse_lint_lines(kept.select(line.alias("value"), i.alias("ord")))
+
 
+PLAIN = "replace(strip_accents(lower(trim({}))), 'ς', 'σ')"
+LINT_SQL = f"""WITH r AS (SELECT * FROM {LINT_RULES})
+SELECT 'repeated token' AS section, token AS a, string_agg(line, ',' ORDER BY line) AS b, count(*) AS value FROM r GROUP BY token HAVING count(*) > 1
+UNION ALL SELECT 'repeated target', target, string_agg(line, ',' ORDER BY line), count(*) FROM r GROUP BY target HAVING count(*) > 1
+UNION ALL SELECT 'alike targets', x.target, y.target, NULL FROM (SELECT DISTINCT target FROM r) x JOIN (SELECT DISTINCT target FROM r) y ON {PLAIN.format('x.target')} = {PLAIN.format('y.target')} AND x.target < y.target
+UNION ALL SELECT 'total', 'rules', NULL, count(*) FROM r UNION ALL SELECT 'total', 'tokens', NULL, count(DISTINCT token) FROM r UNION ALL SELECT 'total', 'targets', NULL, count(DISTINCT target) FROM r UNION ALL SELECT 'total', 'marked', NULL, count(*) FROM r WHERE marked
+UNION ALL SELECT 'token length', CAST(length(token) AS VARCHAR), NULL, count(*) FROM r GROUP BY 2
+UNION ALL SELECT 'short token', token, target, line FROM r WHERE NOT marked AND length(token) <= 2"""
 
-@R.add("l07_rule_lint", f"WITH v AS (SELECT translate(lower(trim(value)), 'άέήίόύώϊϋΐΰς', 'αεηιουωιυιυσ') AS v FROM type_values), g AS (SELECT v FROM v GROUP BY v HAVING count(*) > 1) SELECT 'repeated label' AS kind, count(*) AS n FROM g UNION ALL SELECT 'repeated token', count(*) FROM g UNION ALL SELECT 'near tokens', count(*) FROM {NEAR} WHERE d BETWEEN 1 AND 2")
+
+@R.add("l07_rule_lint", LINT_SQL)
 def l07(spark, d):
-    return labels.lint(token_rules(spark, d)).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    """All sections but those of edits and likeness, which have queries of their own (j12, l09)."""
+    return labels.lint(lint_rules(spark, d)).where("section NOT IN ('near tokens', 'unlike target')")
 
 
 @R.add("j13_residual_targets", f"SELECT t.collection_slug, t.n AS target, coalesce(b.n, 0) AS done, greatest(0, t.n - coalesce(b.n, 0)) AS residual FROM (SELECT collection_slug, count(DISTINCT external_link) AS n FROM edm_labeled WHERE language_code IN ('ELL', 'NONE') AND collection_slug IS NOT NULL GROUP BY 1) t LEFT JOIN (SELECT collection_slug, count(DISTINCT external_link) AS n FROM external_pdfs WHERE {OK} AND pdf_links_count > 0 GROUP BY 1) b USING (collection_slug)")
@@ -353,11 +374,11 @@ def a03(spark, d):
 @R.add("a04_collection_summary", """WITH b AS (SELECT collection_slug, coalesce(language_code, '') AS lc, coalesce(type, 'NA') AS type FROM edm_labeled WHERE collection_slug IS NOT NULL),
 t AS (SELECT collection_slug, count(*) AS total_items, count(*) FILTER (WHERE lc = 'ELL') AS num_ELL, count(*) FILTER (WHERE lc = 'NONE') AS num_NONE FROM b GROUP BY 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY collection_slug ORDER BY n DESC, type) AS r FROM (SELECT collection_slug, type, count(*) AS n FROM b GROUP BY 1, 2)),
-l AS (SELECT collection_slug, list(type ORDER BY r) AS types_top, list(n ORDER BY r) AS types_top_counts FROM r WHERE r <= 5 GROUP BY 1)
-SELECT collection_slug, total_items, num_ELL, round(num_ELL / total_items, 9) AS pct_ELL, num_NONE, round(num_NONE / total_items, 9) AS pct_NONE, types_top, types_top_counts FROM t JOIN l USING (collection_slug)""")
+l AS (SELECT collection_slug, list(type ORDER BY r) AS types_top, list(n ORDER BY r) AS types_top_counts, list(round(n / t.total_items, 9) ORDER BY r) AS types_top_pcts FROM r JOIN t USING (collection_slug) WHERE r <= 5 GROUP BY 1)
+SELECT collection_slug, total_items, num_ELL, round(num_ELL / total_items, 9) AS pct_ELL, num_NONE, round(num_NONE / total_items, 9) AS pct_NONE, types_top, types_top_counts, types_top_pcts FROM t JOIN l USING (collection_slug)""")
 def a04(spark, d):
     s = profiles.collection_summary(table(spark, d, "edm_labeled"), 5)
-    return s.withColumn("pct_ELL", F.round("pct_ELL", 9)).withColumn("pct_NONE", F.round("pct_NONE", 9)).drop("types_top_pcts")
+    return s.withColumn("pct_ELL", F.round("pct_ELL", 9)).withColumn("pct_NONE", F.round("pct_NONE", 9)).withColumn("types_top_pcts", F.transform("types_top_pcts", lambda v: F.round(v, 9)))
 
 
 @R.add("a05_top_types", "SELECT type, count(*) AS n FROM edm_labeled WHERE type IS NOT NULL GROUP BY type ORDER BY n DESC, type LIMIT 20")
@@ -418,9 +439,10 @@ def a14(spark, d):
     return table(spark, d, "edm_metadata_full").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add("a15_error_rate", "SELECT collection_slug, n_rows, n_counted, n_ok, round(CASE WHEN n_counted = 0 THEN 0 ELSE (n_counted - n_ok) * 100.0 / n_counted END, 6) AS error_pct FROM (SELECT collection_slug, count(*) AS n_rows, count(*) FILTER (WHERE NOT coalesce(status_code IN (-3, 404), false)) AS n_counted, count(*) FILTER (WHERE status_code = 200) AS n_ok FROM external_pdfs GROUP BY 1)")
+@R.add("a15_error_rate", "SELECT g.collection_slug, coalesce(n_rows, 0) AS n_rows, coalesce(n_counted, 0) AS n_counted, coalesce(n_ok, 0) AS n_ok, round(CASE WHEN n_rows IS NULL THEN 100 WHEN n_counted = 0 THEN 0 ELSE (n_counted - n_ok) * 100.0 / n_counted END, 6) AS error_pct FROM (SELECT DISTINCT collection_slug FROM (SELECT collection_slug FROM collections UNION ALL SELECT collection_slug FROM external_pdfs UNION ALL SELECT 'without rows')) g LEFT JOIN (SELECT collection_slug, count(*) AS n_rows, count(*) FILTER (WHERE NOT coalesce(status_code IN (-3, 404), false)) AS n_counted, count(*) FILTER (WHERE status_code = 200) AS n_ok FROM external_pdfs GROUP BY 1) e ON e.collection_slug IS NOT DISTINCT FROM g.collection_slug")
 def a15(spark, d):
-    return profiles.error_rate(x(spark, d), ["collection_slug"]).withColumn("error_pct", F.round("error_pct", 6))
+    groups = table(spark, d, "collections").select("collection_slug").union(x(spark, d).select("collection_slug")).union(spark.createDataFrame([("without rows",)], "collection_slug string")).distinct()
+    return profiles.error_rate(x(spark, d), ["collection_slug"], groups).withColumn("error_pct", F.round("error_pct", 6))
 
 
 @R.add("a16_attempt_counters", "SELECT collection_slug, count(*) AS attempted, count(*) FILTER (WHERE status_code = 200) AS ok, count(*) FILTER (WHERE status_code = 404) AS n404, count(*) FILTER (WHERE status_code = 500) AS n500, count(*) FILTER (WHERE status_code < 0) AS negative FROM external_pdfs GROUP BY 1")
@@ -448,9 +470,14 @@ def a20(spark, d):
     return x(spark, d).groupBy("collection_slug").agg(F.count(F.lit(1)).alias("attempted"), w(s == 200).alias("ok"), w(s == 500).alias("n500"), F.coalesce(F.sum("pdf_links_count"), F.lit(0)).alias("links"))
 
 
-@R.add("a21_summary_merge", "SELECT collection_slug, max(page_number) AS pages, max(pdf_links_count) AS links, arg_min(collection_url, row_id) AS collection_url FROM external_pdfs GROUP BY 1")
+def _summary(src: int) -> str:
+    return f"SELECT collection_slug, max(page_number) AS pages, max(pdf_links_count) AS links, max(collection_url) AS collection_url FROM external_pdfs WHERE {SRC} = {src} GROUP BY 1"
+
+
+@R.add("a21_summary_merge", f"WITH o AS ({_summary(0)}), n AS ({_summary(1)}) SELECT coalesce(o.collection_slug, n.collection_slug) AS collection_slug, CASE WHEN o.pages IS NULL OR n.pages > o.pages THEN n.pages ELSE o.pages END AS pages, CASE WHEN o.links IS NULL OR n.links > o.links THEN n.links ELSE o.links END AS links, coalesce(o.collection_url, n.collection_url) AS collection_url FROM o FULL OUTER JOIN n ON o.collection_slug IS NOT DISTINCT FROM n.collection_slug")
 def a21(spark, d):
-    return x(spark, d).groupBy("collection_slug").agg(F.max("page_number").alias("pages"), F.max("pdf_links_count").alias("links"), F.min_by("collection_url", F.when(F.col("collection_url").isNotNull(), F.col("row_id"))).alias("collection_url"))
+    old, new = (p.groupBy("collection_slug").agg(F.max("page_number").alias("pages"), F.max("pdf_links_count").alias("links"), F.max("collection_url").alias("collection_url")) for p in parts(spark, d))
+    return profiles.merge_summaries(old, new, "collection_slug", ["pages", "links"], ["collection_url"])
 
 
 @R.add("a27_domain_rollup", """WITH r AS (SELECT coalesce(lower(regexp_extract(external_link, '^[a-zA-Z]+://([^/?#]*)', 1)), '') AS host, status_code, elapsed_s, epoch_us(fetched_at) AS t, coalesce(status_code <> -3, false) AS done FROM external_pdfs),
@@ -554,9 +581,9 @@ def w04(spark, d):
     return runs.deltas(samples(spark, d), "run").select("run", "completed", F.round("delta_fail_pct", 6).alias("delta_fail_pct"), F.round("derivative", 8).alias("derivative"))
 
 
-@R.add("w05_projection", f"SELECT run, completed, round(greatest(0.0, least(100.0, fail_pct + derivative * (1000000 - completed))), 4) AS project_fail_pct FROM {DELTAS}")
+@R.add("w05_projection", f"SELECT run, completed, round(greatest(0.0, least(100.0, fail_pct + derivative * (1000000 - completed))), 4) AS project_fail_pct, CAST(round_even(greatest(0.0, least(100.0, fail_pct + derivative * (1000000 - completed))) / 100 * 1000000, 0) AS BIGINT) AS project_fail_count FROM {DELTAS}")
 def w05(spark, d):
-    return runs.projected(runs.deltas(samples(spark, d), "run"), 1_000_000).select("run", "completed", F.round("project_fail_pct", 4).alias("project_fail_pct"))
+    return runs.projected(runs.deltas(samples(spark, d), "run"), 1_000_000).select("run", "completed", F.round("project_fail_pct", 4).alias("project_fail_pct"), "project_fail_count")
 
 
 @R.add("w06_moving_rate", f"SELECT run, round((max(failed) - min(failed)) / greatest(1, max(completed) - min(completed)), 8) AS moving_rate, count(*) AS n_samples FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY completed DESC) AS r FROM {SAMPLES}) WHERE r <= 10 GROUP BY run")
@@ -608,9 +635,7 @@ def w13(spark, d):
 
 @R.add("w14_progress_marks", f"WITH t AS (SELECT run, max(completed) AS total FROM {RUN} GROUP BY run), p AS (SELECT t.run, CAST(k AS INTEGER) AS pct, CAST(floor(k * total / 100.0) AS BIGINT) AS need FROM t, range(10, 101, 10) AS r(k)) SELECT p.run, p.pct, min(completed) AS completed FROM p JOIN {RUN} c ON c.run = p.run AND c.completed = greatest(1, p.need) GROUP BY 1, 2")
 def w14(spark, d):
-    totals = run_rows(spark, d).groupBy("run").agg(F.count(F.lit(1)).alias("total"))
-    marks = totals.select("run", "total", F.explode(F.sequence(F.lit(10), F.lit(100), F.lit(10))).alias("pct"))
-    return marks.select("run", "pct", F.greatest(F.lit(1), F.floor(F.col("pct") * F.col("total") / 100.0)).alias("completed"))
+    return runs.progress_marks(runs.running_counts(run_rows(spark, d), "run", "row_id"), "run").select("run", "pct", "completed")
 
 
 @R.add("w15_history", "SELECT external_link, list(status_code ORDER BY row_id) AS history FROM external_pdfs WHERE external_link IS NOT NULL AND status_code IS NOT NULL GROUP BY 1")
@@ -673,21 +698,24 @@ def x06(spark, d):
     return table(spark, d, "type_values").select("value_id", F.replace(T.normalized("value"), F.lit("ς"), F.lit("σ")).alias("norm"))
 
 
-@R.add("x13_json_fields")
+_PICK = lambda *names: "coalesce(" + ", ".join(f"nullif(json_extract_string(j, '$.\"{n}\"'), '')" for n in names) + ", '')"
+
+
+@R.add("x13_json_fields", "SELECT meta_id, " + ", ".join(f"{_PICK(*n)} AS {k}" for k, n in {"language": ("Γλώσσα", "Language", "language"), "type": ("Τύπος", "Type", "type"), "title": ("Τίτλος", "Title", "title")}.items()) + " FROM (SELECT meta_id, CASE WHEN json_valid(metadata_json) THEN CAST(metadata_json AS JSON) END AS j FROM edm_metadata_full) ORDER BY meta_id")
 def x13(spark, d):
     f = labels.fields(F.col("metadata_json"))
     return table(spark, d, "edm_metadata_full").select("meta_id", *[c.alias(k) for k, c in f.items()])
 
 
-@R.add("x15_all_english", "SELECT doc_id, n, n <> '' AND NOT regexp_matches(n, '[^\\P{L}A-Za-z]') AS english FROM (SELECT doc_id, split_part(text, chr(10), 1) AS n FROM documents)")
+@R.add("x15_all_english", "SELECT doc_id, text <> '' AND NOT regexp_matches(text, '[^\\P{L}A-Za-z]') AS english FROM documents")
 def x15(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("n"))
-    return t.select("doc_id", "n", T.all_english(F.col("n")).alias("english"))
+    return table(spark, d, "documents").select("doc_id", T.all_english(F.col("text")).alias("english"))
 
 
-@R.add("x16_page_key")
+@R.add("x16_json_list", "SELECT row_id, pdf_links_json AS links FROM external_pdfs WHERE pdf_links_json IS NOT NULL")
 def x16(spark, d):
-    return x(spark, d).groupBy(page_of(F.col("edm_url")).alias("page")).agg(F.count(F.lit(1)).alias("n"))
+    """The link lists read and written again as the harvest writes them."""
+    return x(spark, d).where("pdf_links_json IS NOT NULL").select("row_id", T.json_list(F.from_json("pdf_links_json", "array<string>")).alias("links"))
 
 
 @R.add("x18_levenshtein", f"SELECT label_id, CAST(levenshtein({ONE_BYTE.format('label_el')}, lower(label_en)) AS INTEGER) AS d FROM type_labels")
@@ -700,11 +728,6 @@ def x19(spark, d):
     return table(spark, d, "type_labels").select("label_id", F.round(T.similarity("label_el", "label_en"), 6).alias("ratio"))
 
 
-@R.add("x21_safe_name", "SELECT DISTINCT collection_name, regexp_replace(collection_name, '[^\\p{L}\\p{N}_-]', '_', 'g') AS name FROM collections")
-def x21(spark, d):
-    return table(spark, d, "collections").select("collection_name", T.safe_name(F.col("collection_name")).alias("name")).distinct()
-
-
 @R.add("x30_shard_times", "SELECT shard, regexp_extract(shard, '__([a-z_]+)__', 1) AS slug, strptime(regexp_extract(shard, '__([0-9]{8}_[0-9]{6})__', 1), '%Y%m%d_%H%M%S') AS written FROM shard_manifest")
 def x30(spark, d):
     return table(spark, d, "shard_manifest").select("shard", F.regexp_extract("shard", "__([a-z_]+)__", 1).alias("slug"), F.to_timestamp(F.regexp_extract("shard", r"__(\d{8}_\d{6})__", 1), "yyyyMMdd_HHmmss").cast("timestamp_ntz").alias("written"))
@@ -738,14 +761,14 @@ def l04(spark, d):
 NG = "(SELECT DISTINCT value_id, substr(w, CAST(i AS INTEGER), 6) AS token FROM (SELECT value_id, w, unnest(range(1, length(w) - 4)) AS i FROM (SELECT value_id, regexp_replace(unnest(string_split_regex(translate(lower(trim(value)), 'άέήίόύώϊϋΐΰς', 'αεηιουωιυιυσ'), '\\s+')), '[^\\p{L}]', '', 'g') AS w FROM type_values) WHERE length(w) >= 6))"
 
 
-@R.add("t03_stem_coverage", f"SELECT token, count(*) AS n, round(count(*) / (SELECT count(*) FROM type_values), 6) AS fraction FROM {NG} GROUP BY token")
+@R.add("t03_stem_coverage", f"SELECT token, count(*) AS n, round(count(*) / (SELECT count(*) FROM type_values), 6) AS fraction, row_number() OVER (ORDER BY count(*) DESC, token) AS rank FROM {NG} GROUP BY token")
 def t03(spark, d):
-    return mining.coverage(table(spark, d, "type_values"), "value_id", "value").withColumn("fraction", F.round("fraction", 6))
+    return mining.ranked(mining.coverage(table(spark, d, "type_values"), "value_id", "value")).withColumn("fraction", F.round("fraction", 6))
 
 
-@R.add("t06_prefix_coverage")
+@R.add("t06_prefix_coverage", "WITH w AS (SELECT value_id, regexp_replace(unnest(string_split_regex(translate(lower(trim(value)), 'άέήίόύώϊϋΐΰς', 'αεηιουωιυιυσ'), '\\s+')), '[^\\p{L}]', '', 'g') AS w FROM type_values), p AS (SELECT DISTINCT value_id, substr(w, 1, 6) AS token FROM w WHERE length(w) >= 6) SELECT token, count(*) AS n, round(count(*) / (SELECT count(*) FROM type_values), 6) AS fraction, row_number() OVER (ORDER BY count(*) DESC, token) AS rank FROM p GROUP BY token")
 def t06(spark, d):
-    return mining.coverage(table(spark, d, "type_values"), "value_id", "value", prefix=True)
+    return mining.ranked(mining.coverage(table(spark, d, "type_values"), "value_id", "value", prefix=True)).withColumn("fraction", F.round("fraction", 6))
 
 
 @R.add("t04_greedy_cover")

@@ -16,12 +16,25 @@ from harvestry.sources.sinks import merge_into
 KEY = ["collection_slug", "page_number", "edm_url"]
 
 
-def checkpoint_merge(stream: DataFrame, path: str, checkpoint: str, every: str = "10 seconds", once: bool = False) -> StreamingQuery:
-    """Merge each micro-batch into the master table; ``once`` drains what is there and stops."""
-    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: merge_into(df, path, KEY))
+def checkpoint_merge(stream: DataFrame, path: str, checkpoint: str, every: str = "10 seconds", once: bool = False, arrival: str | None = None) -> StreamingQuery:
+    """Merge each micro-batch into the master table; ``once`` drains what is there and stops. A checkpoint is due after ``every``,
+    or after as many rows as a micro-batch of the source may hold (``maxFilesPerTrigger`` and the like)."""
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: merge_into(df, path, KEY, arrival))
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=every)).start()
 
 
+def drain(stream: DataFrame, path: str, mode: str) -> DataFrame:
+    """Everything that a stream gives now, written as a table below ``path`` by its executors; each micro-batch adds its rows
+    once, also when it is repeated after a failure."""
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/rows/batch={batch}")
+
+    w = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/log").foreachBatch(write)
+    w.trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows").select(*stream.columns)
+
+
 def failure_windows(stream: DataFrame, ts: str, status: str, size: str = "10 minutes", slide: str | None = None, late: str = "1 hour") -> DataFrame:
     """Rows and failures per event-time window; rows later than the watermark are left out."""
     timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)

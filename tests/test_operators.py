@@ -147,7 +147,7 @@ def test_html_functions():
     assert H.metadata_panel(panel) == {"K": "v w"} and H.metadata_panel("<div class='form-horizontal'>" + g + "</div>") == {}
     assert H.search_page("https://h/collections/x/search?page.page=3&a=1&b=", 5) == "https://h/collections/x/search?page.page=5&a=1&sortResults=SCORE"
     assert H.next_page("https://h/x?page.page=z") == "https://h/x?page.page=2"
-    assert H.collections_of("<div><div class='collection_type'><i class='lastText'>1.234 items</i></div><a class='collection_title' href='/c'>C</a></div>", "https://h") == [("https://h/c", "C", 1234)]
+    assert H.collections_of("<div><div class='collection_type'><i class='lastText'>1.234 τεκμήρια</i></div><a class='collection_title' href='/c'>C</a><a class='collection_title' href='/c'>again</a></div>", "https://h") == [("https://h/c", "C", 1234)]
     assert H.named_links("<a href='/i/a'></a><a href='/i/a'>A</a><a href='/i/b'>B</a>", "https://h", "/i/") == [("https://h/i/a", "a"), ("https://h/i/b", "B")]
     assert H.links_with("<a href='/edm/1'>", "https://h", "/edm/") == ["https://h/edm/1"] and H.external_link("", "x") is None
 
@@ -178,12 +178,167 @@ def test_greedy_cover(spark):
     assert mining.greedy_cover(df, "id", "v", 1.0).count() == 2 and mining.coverage(df, "id", "v", prefix=True).count() == 2
 
 
-def test_fetch_retries(spark):
-    def answers(url):
-        return {"a": (200, "body", None), "b": (404, None, None), "c": (503, None, 0.0)}[url]
+def test_fetch_policies():
+    waits = []
+    policy = lambda **k: fetch.Policy(sleep=waits.append, **k)
 
-    out = {r["url"]: (r["status_code"], r["retries"], r["body"]) for r in fetch.fetch(spark.createDataFrame([("a",), ("b",), ("c",)], "url string"), answers, retries=2).collect()}
-    assert out == {"a": (200, 0, "body"), "b": (404, 0, None), "c": (503, 2, None)}
+    def server(*answers):
+        told = iter(answers)
+        return lambda url, headers: next(told)
+
+    assert fetch.one("u", server((500, None, None), (404, None, None)), policy(retries=3))[0::3] == (404, 1)
+    assert fetch.one("u", server((-1, None, None), (200, "b", None)), policy(retries=3))[2:] == ("b", 1) and waits == []
+    assert fetch.one("u", server((503, None, 120.0), (200, "b", None)), policy())[0] == 200 and waits == [60.0]
+    waits.clear()
+    assert fetch.one("u", server((429, None, None), (200, "b", None)), policy(wait=1.0))[0] == 200 and 0.8 <= waits[0] <= 1.5 and 1.0 <= waits[1] <= 2.0
+    waits.clear()
+    assert fetch.one("u", server(*[(502, None, None)] * 4), policy(retries=3, backoff=0.5, again=(429, 500, 502, 503, 504)))[0::3] == (502, 3) and waits == [0.5, 1.0, 2.0]
+    assert fetch.one("u", server((403, None, None)), policy(retries=3, again=(500,)))[0::3] == (403, 0)
+    agents = []
+    fetch.one("http://h/x", lambda u, h: agents.append(h["User-Agent"]) or (200, "", None), policy(agent_mode="per_domain"))
+    assert agents[0] in fetch.AGENTS and agents[0] == fetch.agent_for("https://H/other", "per_domain") and fetch.agent_for("u", "random") in fetch.AGENTS and fetch.agent_for("u") == fetch.OWN_AGENT
+    assert fetch.seconds_to_wait("120") == 120 and fetch.seconds_to_wait("Wed, 21 Oct 2015 07:28:00 GMT") == 0 and fetch.seconds_to_wait("Wed, 21 Oct 2095 07:28:00 GMT") > 1e9 and fetch.seconds_to_wait("soon") is None is fetch.seconds_to_wait(None)
+    assert fetch.decoded("ά".encode("windows-1253"), None) == fetch.decoded("ά".encode(), None) == fetch.decoded("ά".encode("iso-8859-7"), "iso-8859-7") == "ά"
+
+
+def test_fetch_counts_earlier_retries_and_asks_in_parallel(spark):
+    def answers(url, headers):
+        return {"a": (200, "body", None), "b": (404, None, None), "c": (500, None, None)}[url]
+
+    urls = spark.createDataFrame([("a", 3), ("b", None), ("c", 1), (None, 1)], "url string, before bigint")
+    out = {r["url"]: (r["status_code"], r["retries"], r["body"]) for r in fetch.fetch(urls, answers, fetch.Policy(retries=2, concurrency=3), earlier="before").collect()}
+    assert out == {"a": (200, 3, "body"), "b": (404, 0, None), "c": (500, 3, None)}
+
+
+def test_probe_asks_again_what_is_not_200(spark, tmp_path):
+    at = str(tmp_path)
+
+    def answers(url, headers):
+        import os
+
+        met = os.path.join(at, url)
+        seen = os.path.exists(met)
+        open(met, "a").write("x")
+        return {"late": (200 if seen else -1, "", None), "gone": (404, None, None), "down": (-2, None, None), "slow": (-1, None, None), "ok": (200, "", None)}[url]
+
+    urls = spark.createDataFrame([(u,) for u in ("late", "gone", "down", "slow", "ok", "ok", None)], "url string")
+    assert {r["url"]: r["status_code"] for r in fetch.probe(urls, answers, rounds=2).collect()} == {"late": 200, "gone": 404, "down": -1, "slow": 0, "ok": 200}
+    assert len((tmp_path / "ok").read_text()) == 1 and len((tmp_path / "slow").read_text()) == 3
+
+
+def test_pages_are_read_from_snapshots_first(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    sinks.append_snapshots(spark.createDataFrame([("a", "old"), ("a", "old")], "url string, body string"), path)
+    asked = spark.createDataFrame([("a",), ("b",), ("c",)], "url string")
+    pages, fresh = fetch.with_snapshots(asked, spark.read.parquet(path), lambda u, h: (200 if u == "b" else 500, "new", None))
+    assert {r["url"]: (r["status_code"], r["body"]) for r in pages.collect()} == {"a": (200, "old"), "b": (200, "new"), "c": (500, None)}
+    sinks.append_snapshots(fresh, path)
+    sinks.append_snapshots(fresh, path)
+    assert sorted(r["url"] for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    assert fetch.with_snapshots(asked, None, lambda u, h: (404, None, None))[0].count() == 3
+
+
+def test_a_failed_swap_leaves_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.swap(spark.range(5), path)
+    monkeypatch.setattr(sinks, "_rename", lambda fs, a, b: False)
+    with pytest.raises(OSError, match="cannot rename"):
+        sinks.swap(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 5 and sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    monkeypatch.undo()
+    copy = sinks.backup_copy(spark, path, str(tmp_path / "kept"))
+    sinks.swap(spark.range(9), path)
+    assert spark.read.parquet(copy).count() == 5 and spark.read.parquet(path).count() == 9 and sinks.backup_copy(spark, str(tmp_path / "none"), str(tmp_path)) is None
+
+
+def test_ties_inside_one_batch_are_decided(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [("s", 1, "u", 200, 0, 7), ("s", 1, "u", 200, 0, 9), ("s", 1, "u", 200, 0, 8)]
+    assert sinks.merge_into(spark.createDataFrame(rows, S).repartition(3), path, KEY, "ord")
+    assert [r["ord"] for r in spark.read.parquet(path).collect()] == [9]
+    sinks.merge_into(spark.createDataFrame([("s", 1, "u", 200, 0, 3)], S), path, KEY, "ord")
+    assert [r["ord"] for r in spark.read.parquet(path).collect()] == [3] and not sinks.merge_into(spark.createDataFrame([], S), path, KEY)
+
+
+def test_tails_of_metrics_files(spark, tmp_path):
+    head = "t_epoch,completed,failed,fail_pct,speed_ps,eta_s,remaining\n"
+    files = {"good": head + "1,100,1,1.0,2.5,40,60\n2,200,4,2.0,3.5,20.5,10\nbroken,x\n", "long": head + "".join(f"1,{k},0,0,1,{k},9\n" for k in range(5000)), "empty": "", "header": head, "bad": head + "1,x,y,z,a,b,c\n"}
+    for n, t in files.items():
+        (tmp_path / n).write_text(t)
+    out = {r["path"].rpartition("/")[2]: tuple(r)[1:] for r in tables.tail_metrics(spark, [str(tmp_path / n) for n in (*files, "missing")]).collect()}
+    zero = (0, 0.0, 0.0, 0)
+    assert out == {"good": (200, 20.5, 3.5, 10), "long": (4999, 4999.0, 1.0, 9), "empty": zero, "header": zero, "bad": zero, "missing": zero}
+
+
+def test_names_of_pages():
+    crumb = "<ul class='x breadcrumb'><li><a href='/'> First </a></li><li><a>Second</a></li></ul>"
+    box, mark = "<div id='containerId'><i class='institution-name'>Box</i></div>", "<p data-testid='repository-name'>Mark</p>"
+    assert [H.institution_name(h) for h in (crumb + box + mark, box + mark, mark, "<h1>x</h1><title>t</title>", None)] == ["First", "Box", "Mark", None, None]
+    assert [H.collection_name(h) for h in ("<h1 class='title'> A <b>b</b></h1>", "<title>t</title>", "<h1></h1>", None)] == ["A b", None, None, None]
+    assert [H.named_institution(h) for h in ("<a class='organisation_title'>L</a><h1>H</h1>", "<h1>H</h1>", "<title>a | T </title>", "")] == [("L", "link"), ("H", "heading"), ("T", "title"), (None, "none")]
+    page = "<a href='/p/institutions/inst/'></a><h1>C</h1><p>1.234 τεκμήρια</p>"
+    assert H.collection_detail(page, "https://h/p/collections/c/", "/institutions/") == {"institution_slug": "inst", "institution_name": "inst", "institution_url": "https://h/p/institutions/inst/", "collection_slug": "c", "collection_name": "C", "collection_url": "https://h/p/collections/c/", "item_count": 1234}
+    assert H.collection_detail("<h1>C</h1>", "https://h/c", "/institutions/") is None
+
+
+def test_rewritten_rules(spark):
+    lines = spark.createDataFrame([(1, 'a -> A : ["x", "y"]', 8), (2, 'b -> B : ["y"]', 8), (3, "[[X]] en -> EN : [1]", 8), (4, "no list", 8), (5, 'b -> C : ["z"]', 8), (6, "[[D]] done", 8), (7, None, 8)], "ord int, value string, _line int")
+    edits = spark.createDataFrame([(1, "merge", 1, None, "2"), (2, "merge", 1, None, "5"), (3, "merge", 4, None, "5"), (4, "relabel", None, "[[X]] en -> EN", "en -> number"), (5, "mark", None, "b -> ", "[[X]]"), (6, "mark", 5, None, "[[D]]"), (7, "mark", 6, None, "[[D]]")], "step int, action string, line bigint, prefix string, text string")
+    out = {r["ord"]: r["value"] for r in labels.rewrite_rules(lines, edits).collect()}
+    assert out == {1: 'a -> A : ["x", "y", "z"]', 2: '[[X]] b -> B : ["y"]', 3: "en -> number : [1]", 4: "no list", 5: '[[X]] b -> C : ["z"]', 6: "[[D]] done", 7: None}
+    assert labels.rewrite_rules(lines, edits.limit(0)).count() == 7
+
+
+def test_lint_sections(spark):
+    rules = spark.createDataFrame([(1, "word", "Word", False), (2, "word", "other", False), (3, "words", "Άλλο", False), (4, "ab", "abc", False), (5, "ab", "zz", True), (6, "qqqqq", "thesis", False), (7, "wxyz", "άλλο", True)], "line bigint, token string, target string, marked boolean")
+    out = {}
+    for r in labels.lint(rules).collect():
+        out.setdefault(r["section"], []).append((r["a"], r["b"], r["value"]))
+    assert sorted(out["repeated token"]) == [("ab", "4,5", 2), ("word", "1,2", 2)] and "repeated target" not in out
+    assert out["near tokens"] == [("word", "words", 1)] and sorted(out["alike targets"]) == [("Άλλο", "άλλο", None)]
+    assert ("rules", None, 7) in out["total"] and ("marked", None, 2) in out["total"] and ("4", None, 3) in out["token length"]
+    assert out["short token"] == [("ab", "abc", 4)] and sorted(out["unlike target"]) == [("qqqqq", "thesis", 6), ("word", "other", 2), ("words", "Άλλο", 3)]
+
+
+def test_containing_texts_equal_brute_force(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))
+    a, b = sorted({word() for _ in range(120)}), sorted({word() for _ in range(80)})
+    got = {(r["long"], r["short"]) for r in labels._containing(spark.createDataFrame([(x,) for x in a], "long string"), spark.createDataFrame([(x,) for x in b], "short string")).collect()}
+    assert got == {(x, y) for x in a for y in b if y and y in x}
+
+
+def test_quartiles_equal_a_plain_sort(spark):
+    import statistics
+
+    for values in ([5.0], [1.0, 2.0], [3.0, 1.0, 1.0, 1.0, 9.0], [float(k * k % 37) for k in range(101)]):
+        r = profiles.describe(spark.createDataFrame([(v,) for v in [*values, None]], "v double"), "v").first()
+        q = statistics.quantiles(values, n=4, method="inclusive") if len(values) > 1 else values * 3
+        assert [r["p25"], r["p50"], r["p75"]] == pytest.approx(q) and r["n"] == len(values)
+    assert profiles.describe(spark.createDataFrame([], "v double"), "v").first()["n"] == 0
+
+
+def test_groups_without_rows_and_merged_summaries(spark):
+    df = spark.createDataFrame([("a", 200), (None, 500)], "k string, status_code bigint")
+    groups = spark.createDataFrame([("a",), ("empty",), (None,)], "k string")
+    assert {r["k"]: r["error_pct"] for r in profiles.error_rate(df, ["k"], groups).collect()} == {"a": 0.0, "empty": 100.0, None: 100.0}
+    kind = "k string, n bigint, u string"
+    old, new = spark.createDataFrame([("a", 5, None), ("b", None, "old")], kind), spark.createDataFrame([("a", 3, "new"), ("b", 2, "new"), ("c", 1, None)], kind)
+    assert {tuple(r) for r in profiles.merge_summaries(old, new, "k", ["n"], ["u"]).collect()} == {("a", 5, "new"), ("b", 2, "old"), ("c", 1, None)}
+    w = spark.createDataFrame([(10, 4, 2.0), (None, 7, 1.0), (3, 9, -1.0)], "target bigint, attempted bigint, speed double")
+    r = profiles.fleet_rollup(w, spark.createDataFrame([(30,)], "target bigint")).first()
+    assert (r["workers"], r["remaining"], r["queued"], r["speed"], r["eta_s"]) == (3, 6, 30, 3.0, 12.0)
+    assert profiles.fleet_rollup(w.limit(0)).first()["eta_s"] == 0.0
+
+
+def test_stored_tables_are_released(spark):
+    import os
+
+    from harvestry import session
+
+    df, path = session.stored(spark.range(3), "test")
+    assert df.count() == 3 and os.path.exists(path)
+    assert session.release(spark) >= 1 and not os.path.exists(path) and session.release(spark) == 0
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -196,7 +351,7 @@ def test_sources_and_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("s", 1, "u", 404, 0, 1)], S)
     path = str(tmp_path / "t")
     sinks.merge_into(rows, path, KEY)
-    sinks.merge_into(spark.createDataFrame([("s", 1, "u", 200, 0, 2), ("s", 2, "u", 500, 0, 3)], S), path, KEY, "none")
+    sinks.merge_into(spark.createDataFrame([("s", 1, "u", 200, 0, 2), ("s", 2, "u", 500, 0, 3)], S), path, KEY, compression="none")
     sinks.merge_into(rows.limit(0), path, KEY)
     assert sorted(r["status_code"] for r in spark.read.parquet(path).collect()) == [200, 500]
     sinks.swap(rows, path, backup=str(tmp_path / "old"))
