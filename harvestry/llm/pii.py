@@ -433,6 +433,8 @@ def find_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 #: Draws of one entity after which the operator gives up; each makes the space of surrogates larger.
 MAX_DRAWS = 64
+#: Entities drawn again that are sent to all tasks; more are joined to their mentions, with the same result.
+MAX_SENT = 200_000
 
 
 def _distinct_surrogates(found: DataFrame, ent: str, key: bytes) -> tuple[DataFrame | None, dict[str, int]]:
@@ -474,7 +476,7 @@ def redact_with_report(docs: DataFrame, key: bytes, text: str = "text") -> tuple
     placeholders, ``struct<line_no, kind, surrogate, alone>``.
 
     Detection runs once; its mentions are stored beside the texts. Surrogates are keyed, agree over the whole corpus and
-    are distinct (see ``_distinct_surrogates``). A mention needs a join only where its entity was drawn again.
+    are distinct (see ``_distinct_surrogates``). Texts don't move unless more than MAX_SENT entities were drawn again.
     """
     rid, ent, redrawn, out, n, report = fresh(docs.columns, "_rid", "_mentions", "_redrawn", "_out", "n_entities", "placeholders")
 
@@ -484,21 +486,25 @@ def redact_with_report(docs: DataFrame, key: bytes, text: str = "text") -> tuple
 
     found, _ = stored(docs.withColumn(rid, F.monotonically_increasing_id()).withColumn(ent, detect(F.col(text))), "mentions")
     again, sizes = _distinct_surrogates(found, ent, key)
-    if again is None:
+    few = again.limit(MAX_SENT + 1).collect() if again is not None else []
+    if len(few) <= MAX_SENT:
+        sent = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["normal"]): r["attempt"] for r in few})
         found = found.withColumn(redrawn, F.array().cast("array<struct<at:int,attempt:int>>"))
     else:
+        sent = docs.sparkSession.sparkContext.broadcast({})
         flat = found.select(F.col(rid).alias("r"), F.posexplode(ent).alias("at", "m")).select("r", "at", "m.kind", "m.normal")
         marks = flat.join(again, ["kind", "normal"]).groupBy("r").agg(F.collect_list(F.struct("at", F.col("attempt").cast("int").alias("attempt"))).alias(redrawn))  # at most a text's mentions
         found = found.join(marks, F.col(rid) == F.col("r"), "left").drop("r")
 
     @F.pandas_udf(_REWRITTEN)
     def rewrite(texts: pd.Series, lists: pd.Series, again: pd.Series) -> pd.DataFrame:
-        new, counts, told = [], [], []
+        new, counts, told, known = [], [], [], sent.value
         for t, ms, marks in zip(texts, lists, again, strict=True):
             parts, at, said = [], 0, []
             draws = {m["at"]: m["attempt"] for m in marks} if marks is not None else {}
             for i, m in enumerate(ms):
-                s = surrogate(m["kind"], m["value"], key, draws.get(i, 0), m["normal"], sizes[m["kind"]], m["full"])
+                attempt = draws.get(i) or known.get((m["kind"], m["normal"]), 0)
+                s = surrogate(m["kind"], m["value"], key, attempt, m["normal"], sizes[m["kind"]], m["full"])
                 parts += [t[at : m["first"]], f"[{m['kind'].upper()} {s}]", "\n" * m["value"].count("\n")]
                 said.append({"line_no": m["line_no"], "kind": m["kind"], "surrogate": s, "alone": m["full"] is not None})
                 at = m["end"]

@@ -72,6 +72,8 @@ def test_redraws_until_all_are_distinct_or_raises(spark, monkeypatch):
     monkeypatch.setattr(pii, "surrogate", narrow)
     names = re.findall(r"\[PERSON_NAME (.*?)\]", redact(docs, b"k").first()["text"])
     assert len(names) == 4 == len(set(names)) and "Adam Real" not in names  # nor is a surrogate a real person
+    monkeypatch.setattr(pii, "MAX_SENT", 0)
+    assert re.findall(r"\[PERSON_NAME (.*?)\]", redact(docs, b"k").first()["text"]) == names
     monkeypatch.setattr(pii, "MAX_DRAWS", 2)
     with pytest.raises(ValueError, match="still collide"):
         redact(docs, b"k")
