@@ -67,8 +67,9 @@ def backup_copy(spark: SparkSession, path: str, folder: str) -> str | None:
 def merge_into(new: DataFrame, path: str, key: list[str], arrival: str | None = None, compression: str = "snappy") -> bool:
     """Best-of merge of new rows into the table at ``path``; nothing new leaves it as it is (and gives False).
 
-    Of rows that are equal in outcome and retries the later table's wins, and inside one table the one with the greatest
-    ``arrival`` (a column that both have); without it, the greatest by all other columns, so the result is defined.
+    Of rows that are equal in outcome and retries the one with the greatest ``arrival`` (a column of both) wins, in whatever
+    order the batches came; without such a column the later table's, and inside one table the greatest by all columns, so
+    that the result is defined.
     """
     spark = new.sparkSession
     fs, target = _fs(spark, path)
@@ -77,7 +78,7 @@ def merge_into(new: DataFrame, path: str, key: list[str], arrival: str | None =
     frames = [spark.read.parquet(path), new] if fs.exists(target) else [new]
     rows = union_ranked(frames)
     rest = [F.to_json(F.struct(*[c for c in rows.columns if c != "_src"]))]
-    merged = best_of(rows, key, [*fetch_order("_src"), *([F.col(arrival)] if arrival else rest)]).drop("_src")
+    merged = best_of(rows, key, [*fetch_order(*([arrival] if arrival else []), "_src"), *rest]).drop("_src")
     swap(merged, path, compression)
     return True
 

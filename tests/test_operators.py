@@ -256,7 +256,10 @@ def test_ties_inside_one_batch_are_decided(spark, tmp_path):
     rows = [("s", 1, "u", 200, 0, 7), ("s", 1, "u", 200, 0, 9), ("s", 1, "u", 200, 0, 8)]
     assert sinks.merge_into(spark.createDataFrame(rows, S).repartition(3), path, KEY, "ord")
     assert [r["ord"] for r in spark.read.parquet(path).collect()] == [9]
-    sinks.merge_into(spark.createDataFrame([("s", 1, "u", 200, 0, 3)], S), path, KEY, "ord")
+    late = spark.createDataFrame([("s", 1, "u", 200, 0, 3)], S)
+    sinks.merge_into(late, path, KEY, "ord")
+    assert [r["ord"] for r in spark.read.parquet(path).collect()] == [9]
+    sinks.merge_into(late, path, KEY)
     assert [r["ord"] for r in spark.read.parquet(path).collect()] == [3] and not sinks.merge_into(spark.createDataFrame([], S), path, KEY)
 
 
