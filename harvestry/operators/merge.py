@@ -40,3 +40,16 @@ def overlay(old: DataFrame, new: DataFrame, key: str, either: list[str]) -> Data
 def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
     """Distinct keys with the place they were first seen at."""
     return df.groupBy(key).agg(F.min(order).alias(order))
+
+
+def history(df: DataFrame, key: str, order: str, value: str, size: int = 10_000) -> DataFrame:
+    """``key, piece, history``: the values of each key in ``order``, as arrays of at most ``size`` values, numbered from 0.
+
+    A key may have any number of rows: they are numbered over blocks and cut into pieces, so no array and no task holds them all.
+    """
+    from harvestry.functions.prefix import blocked, number_rows
+
+    frozen, block = blocked(df.select(key, order, value), order)
+    pieces = number_rows(frozen, key, order, block, "_number").withColumn("piece", F.floor(F.col("_number") / size).cast("long"))
+    listed = pieces.groupBy(key, "piece").agg(F.array_sort(F.collect_list(F.struct("_number", F.col(value).alias("v")))).alias("h"))
+    return listed.select(key, "piece", F.transform("h", lambda x: x["v"]).alias("history"))

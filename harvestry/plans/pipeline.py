@@ -12,13 +12,16 @@ from harvestry.plans.registry import Registry, table
 R = Registry()
 TARGET = 64 << 20
 
-_PLAN = f"""
+
+def _plan(target: int) -> str:
+    return f"""
 WITH files AS (SELECT shard, max(n_rows) AS n_rows, greatest(coalesce(max(n_bytes), 0), 0) AS n_bytes FROM shard_manifest WHERE shard IS NOT NULL GROUP BY shard),
 cum AS (SELECT *, coalesce(sum(n_bytes) OVER (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_byte FROM files),
-plan AS (SELECT shard, n_rows, n_bytes, CAST(start_byte AS BIGINT) AS start_byte, CAST(floor(start_byte / {TARGET}.0) AS BIGINT) AS group_id FROM cum)"""
+plan AS (SELECT shard, n_rows, n_bytes, CAST(start_byte AS BIGINT) AS start_byte, CAST(floor(start_byte / {target}.0) AS BIGINT) AS group_id FROM cum)"""
 
 
-@R.add("p3_compaction", _PLAN + """,
+#: Nothing may be lost or doubled: the counts of the source are the counts written, and the last column is 0 by demand.
+_REPORT = """,
 src AS (SELECT shard, count(*) AS n FROM external_pdfs GROUP BY shard),
 lo AS (SELECT group_id, min(shard) AS lo FROM plan GROUP BY group_id),
 unl AS (SELECT s.shard, s.n, CASE WHEN s.shard IS NULL THEN -1 ELSE coalesce((SELECT max(group_id) FROM lo WHERE lo.lo <= s.shard), 0) END AS group_id FROM src s WHERE s.shard IS NULL OR s.shard NOT IN (SELECT shard FROM plan)),
@@ -28,12 +31,31 @@ SELECT group_id, CAST(sum(planned) AS BIGINT) AS files_planned, CAST(sum(unliste
  CAST(sum(coalesce(stated, 0)) AS BIGINT) AS manifest_rows, CAST(sum(n) AS BIGINT) AS source_rows, CAST(sum(n) AS BIGINT) AS written_rows,
  CAST(count(*) FILTER (WHERE planned = 1 AND stated <> n) AS BIGINT) AS manifest_differs, CAST(count(*) FILTER (WHERE planned = 1 AND stated IS NULL) AS BIGINT) AS manifest_unstated,
  CAST(0 AS BIGINT) AS lost_or_doubled
-FROM per GROUP BY group_id""")
+FROM per GROUP BY group_id"""
+
+
+@R.add("p3_compaction", _plan(TARGET) + _REPORT)
 def p3_compaction(spark, d):
     return compact(table(spark, d, "external_pdfs"), table(spark, d, "shard_manifest"), TARGET)[0]
 
 
-@R.add("p3_plan", _PLAN + " SELECT * FROM plan")
+#: A target that makes many groups of the smaller test data too.
+SMALL = 1 << 20
+
+
+@R.add("p3_many_groups", _plan(SMALL) + _REPORT)
+def p3_many_groups(spark, d):
+    return compact(table(spark, d, "external_pdfs"), table(spark, d, "shard_manifest"), SMALL)[0]
+
+
+@R.add("p3_rows_kept", "SELECT row_id, shard FROM external_pdfs")
+def p3_rows_kept(spark, d):
+    """The rows as they stand in the compacted files."""
+    _, path = compact(table(spark, d, "external_pdfs"), table(spark, d, "shard_manifest"), SMALL)
+    return spark.read.parquet(path).select("row_id", "shard")
+
+
+@R.add("p3_plan", _plan(TARGET) + " SELECT * FROM plan")
 def p3_plan(spark, d):
     return plan_groups(table(spark, d, "shard_manifest"), TARGET)
 
@@ -60,6 +82,12 @@ def p5_wide(spark, d):
     return wide_records(table(spark, d, "edm_metadata_full"), "meta_id", "metadata_json", "metadata_num_fields")
 
 
+@R.add("p5_names", """WITH e AS (SELECT t.meta_id, e.key FROM (SELECT meta_id, metadata_json FROM edm_metadata_full WHERE CASE WHEN json_valid(metadata_json) THEN json_type(metadata_json) = 'OBJECT' ELSE false END) t, json_each(t.metadata_json) e
+ WHERE e.type <> 'NULL' AND (e.type <> 'VARCHAR' OR regexp_matches(json_extract_string(e.value, '$'), '[^\\s\\p{Z}\\x{85}\\x{1c}-\\x{1f}\\x{b}]'))) SELECT key AS name, count(DISTINCT meta_id) AS n_records, count(*) AS n_values FROM e GROUP BY 1""")
+def p5_names(spark, d):
+    return p5_attributes(spark, d).select("name", "n_records", "n_values")
+
+
 @R.add("p5_attributes")
 def p5_attributes(spark, d):
     return discover_attributes(explode_fields(fields_of(table(spark, d, "edm_metadata_full").select("meta_id", "metadata_json"), "metadata_json")))

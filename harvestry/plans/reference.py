@@ -638,10 +638,10 @@ def w14(spark, d):
     return runs.progress_marks(runs.running_counts(run_rows(spark, d), "run", "row_id"), "run").select("run", "pct", "completed")
 
 
-@R.add("w15_history", "SELECT external_link, list(status_code ORDER BY row_id) AS history FROM external_pdfs WHERE external_link IS NOT NULL AND status_code IS NOT NULL GROUP BY 1")
+@R.add("w15_history", "SELECT external_link, CAST((n - 1) // 10 AS BIGINT) AS piece, list(status_code ORDER BY row_id) AS history FROM (SELECT *, row_number() OVER (PARTITION BY external_link ORDER BY row_id) AS n FROM external_pdfs WHERE external_link IS NOT NULL AND status_code IS NOT NULL) GROUP BY 1, 2")
 def w15(spark, d):
-    rows = x(spark, d).where("external_link IS NOT NULL AND external_link <> '' AND status_code IS NOT NULL OR external_link = '' AND status_code IS NOT NULL")
-    return rows.groupBy("external_link").agg(F.array_sort(F.collect_list(F.struct("row_id", "status_code"))).alias("h")).select("external_link", F.transform("h", lambda v: v["status_code"]).alias("history"))
+    rows = x(spark, d).where("external_link IS NOT NULL AND status_code IS NOT NULL")
+    return merge.history(rows, "external_link", "row_id", "status_code", 10)
 
 
 @R.add("d01_linear_model", f"SELECT run, count(*) AS n, round(regr_slope(fail_pct, completed), 9) AS slope, round(regr_intercept(fail_pct, completed), 5) AS intercept, round(regr_r2(fail_pct, completed), 6) AS r2 FROM {SAMPLES} WHERE completed > 0 AND fail_pct > 0 GROUP BY run")
@@ -738,12 +738,22 @@ def x30(spark, d):
 
 def rules(spark, d) -> tuple[DataFrame, DataFrame]:
     """(language rules, type rules) as normalised tokens."""
-    lang = spark.createDataFrame([("ελληνικ", "ELL", 1), ("ell", "ELL", 2), ("gre", "ELL", 3), ("αγγλικ", "ENG", 4), ("eng", "ENG", 5), ("fre", "FRA", 6), ("γαλλικ", "FRA", 7)], "token string, label string, ord int")
+    lang = spark.createDataFrame(_LANGS, "token string, label string, ord int")
     t = labels.parse_type_rules(rule_lines(spark, d)).select(F.explode("values").alias("v"), "label", "ord")
     return lang, t.select(T.normalized("v").alias("token"), "label", "ord")
 
 
-@R.add("l05_label_records")
+_LANGS = [("ελληνικ", "ELL", 1), ("ell", "ELL", 2), ("gre", "ELL", 3), ("αγγλικ", "ENG", 4), ("eng", "ENG", 5), ("fre", "FRA", 6), ("γαλλικ", "FRA", 7)]
+_FIELD = {"lang": _PICK("Γλώσσα", "Language", "language"), "type": _PICK("Τύπος", "Type", "type"), "title": _PICK("Τίτλος", "Title", "title")}
+L05 = f"""WITH m AS (SELECT meta_id, {', '.join(f'{v} AS {k}' for k, v in _FIELD.items())} FROM (SELECT meta_id, CASE WHEN json_valid(metadata_json) THEN CAST(metadata_json AS JSON) END AS j FROM edm_metadata_full)),
+lr AS (SELECT * FROM (VALUES {', '.join(f"('{t}', '{c}', {o})" for t, c, o in _LANGS)}) v(token, label, ord)),
+tr AS (SELECT {PLAIN.format('v')} AS token, label, ord FROM (SELECT unnest([label_el, label_en]) AS v, label_en AS label, label_id AS ord FROM type_labels)),
+l AS (SELECT lang, norm, coalesce((SELECT label FROM lr WHERE token = norm ORDER BY ord DESC LIMIT 1), (SELECT label FROM lr WHERE contains(norm, token) ORDER BY length(token) DESC, ord LIMIT 1), 'OTHER') AS code FROM (SELECT DISTINCT lang, {PLAIN.format('lang')} AS norm FROM m)),
+t AS (SELECT type, norm, coalesce((SELECT label FROM tr WHERE token = norm ORDER BY ord LIMIT 1), (SELECT label FROM tr WHERE contains(norm, token) OR contains(token, norm) ORDER BY length(token) DESC, ord LIMIT 1), 'NA') AS label FROM (SELECT DISTINCT type, {PLAIN.format('type')} AS norm FROM m))
+SELECT meta_id, title <> '' AND NOT regexp_matches(title, '[^\\P{{L}}A-Za-z]') AS title_all_english, CASE WHEN l.norm = '' THEN 'NONE' ELSE code END AS language_code, CASE WHEN t.norm = '' THEN 'NA' ELSE t.label END AS type FROM m JOIN l USING (lang) JOIN t USING (type)"""
+
+
+@R.add("l05_label_records", L05)
 def l05(spark, d):
     lang, types = rules(spark, d)
     return labels.label_records(table(spark, d, "edm_metadata_full").select("meta_id", "metadata_json"), "metadata_json", lang, types).drop("metadata_json")
