@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions.text import all_english, first_field, json_map, normalized, similarity
+from harvestry.session import stored
 
 def parse_language_rules(lines: DataFrame, line: str = "value", order: str = "ord") -> DataFrame:
     """``lhs, code, ord`` of lines ``lhs -> CODE [note]``; of a repeated left side the last line wins."""
@@ -40,38 +41,37 @@ def match_rules(values: DataFrame, value: str, rules: DataFrame, both_ways: bool
     joined on the rarest piece of the contained text and then verified; texts of fewer than three letters have few
     forms and are joined on their own pieces. Nothing is compared with everything, whatever the number of rules.
     """
-    distinct = values.select(F.col(value).alias("_raw")).distinct().withColumn("_norm", normalized("_raw"))
+    distinct, _ = stored(values.select(F.col(value).alias("_raw")).distinct().withColumn("_norm", normalized("_raw")), "distinct")
+    rules, _ = stored(rules, "rules")
     exact = rules.groupBy(F.col("token").alias("_norm")).agg((F.min_by if first_wins else F.max_by)("label", "ord").alias("exact"))
-    hits = _containing(distinct.select(F.col("_norm").alias("long")).distinct(), rules.select(F.col("token").alias("short")).distinct())
-    pairs = hits.select(F.col("long").alias("_norm"), F.col("short").alias("token"))
+    norms, tokens = distinct.select("_norm").distinct(), rules.select("token").distinct()
+    pairs = _containing(norms.withColumnRenamed("_norm", "long"), tokens.withColumnRenamed("token", "short")).select(F.col("long").alias("_norm"), F.col("short").alias("token"))
     if both_ways:
-        turned = _containing(rules.select(F.col("token").alias("long")).distinct(), distinct.select(F.col("_norm").alias("short")).distinct())
+        turned = _containing(tokens.withColumnRenamed("token", "long"), norms.withColumnRenamed("_norm", "short"))
         pairs = pairs.unionByName(turned.select(F.col("short").alias("_norm"), F.col("long").alias("token"))).distinct()
     near = pairs.join(rules, "token").groupBy("_norm").agg(F.min_by("label", F.struct(-F.length("token"), "ord")).alias("near"))
     return distinct.join(exact, "_norm", "left").join(near, "_norm", "left").select(F.col("_raw").alias(value), F.col("_norm"), F.coalesce("exact", "near").alias("label"))
 
 
 def _pieces(text: Column, size: int) -> Column:
-    """All distinct pieces of ``size`` letters."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, F.lit(size))))
+    """All distinct pieces of ``size`` letters; none of a shorter text."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(size))))
 
 
 def _containing(longs: DataFrame, shorts: DataFrame) -> DataFrame:
-    """``long, short``: every pair of which the one text contains the other, non-empty one."""
-    out = None
-    for size, own in ((3, F.length("short") >= 3), (2, F.length("short") == 2), (1, F.length("short") == 1)):
-        keys = longs.where(F.length("long") >= size).select("long", F.explode(_pieces(F.col("long"), size)).alias("piece"))
-        asked = shorts.where(own)
-        if size == 3:
-            flat = asked.select("short", F.explode(_pieces(F.col("short"), 3)).alias("piece"))
-            known = keys.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-            # a piece that no longer text has rules the pair out; of the others the rarest is enough
-            asked = flat.join(known, "piece", "left").groupBy("short").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("r")).where("r.n > 0").select("short", "r.piece")
-        else:
-            asked = asked.select("short", F.col("short").alias("piece"))
-        met = keys.join(asked, "piece").where(F.col("long").contains(F.col("short"))).select("long", "short")
-        out = met if out is None else out.unionByName(met)
-    return out
+    """``long, short``: every pair of which the one text contains the other, non-empty one.
+
+    A text of three letters or more is looked for by its rarest piece among the longer texts (if one of its pieces is in none
+    of them, it is in none either), a shorter one by itself.
+    """
+    keys = longs.select("long", F.explode(F.concat(*[_pieces(F.col("long"), k) for k in (3, 2, 1)])).alias("piece"))
+    known = keys.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    own = F.when(F.length("short") >= 3, _pieces(F.col("short"), 3)).otherwise(F.array("short"))
+    flat = shorts.where(F.col("short") != "").select("short", F.explode(own).alias("piece"))
+    rarest = flat.join(known, "piece", "left").groupBy("short").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("r"))
+    asked = rarest.where("r.n > 0").select("short", F.col("r.piece").alias("piece"))
+    return keys.join(asked, "piece").where(F.col("long").contains(F.col("short"))).select("long", "short")
 
 
 def fields(text: Column) -> dict[str, Column]:
