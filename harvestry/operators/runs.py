@@ -16,7 +16,7 @@ from harvestry.operators.profiles import status_rank
 from harvestry.session import stored
 
 #: The column that numbers the blocks of a run's rows; samples keep it, so that they are folded in the same blocks.
-BLOCK = "_block"
+BLOCK = "_run_block"
 #: Bounds of the fitted curves ``a exp(b x) + c`` and ``a x^b + c`` over thousands of requests.
 EXPONENTIAL, POWER = {"a": (0.0, 100.0), "b": (0.0, 0.1), "c": (0.0, 100.0)}, {"a": (0.0, 100.0), "b": (0.0, 2.0), "c": (-10.0, 10.0)}
 

@@ -672,6 +672,21 @@ def z04(spark, d, every: int = 250):
     return runs.stage_machine(ticks, "run", "completed")
 
 
+_BAD = lambda c: f"CASE WHEN {c} < 0 OR ({c} >= 400 AND {c} <> 404) THEN 1 ELSE 0 END"
+_UNIQUE = f"""WITH r AS (SELECT row_id, collection_slug, external_link, status_code AS s, coalesce(external_link IS NOT NULL AND status_code <> -3, false) AS valid,
+ CASE WHEN status_code = 200 THEN 0 WHEN status_code = 404 THEN 1 WHEN status_code >= 500 THEN 2 WHEN status_code < 0 THEN 3 ELSE 4 END * 10000000000 + row_id AS k FROM external_pdfs),
+b AS (SELECT *, arg_min(s, CASE WHEN valid THEN k END) OVER (PARTITION BY collection_slug, external_link ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS old, arg_min(s, CASE WHEN valid THEN k END) OVER (PARTITION BY collection_slug, external_link ORDER BY row_id ROWS UNBOUNDED PRECEDING) AS new FROM r)
+SELECT row_id, CAST(sum(CASE WHEN valid AND old IS NULL THEN 1 ELSE 0 END) OVER w AS BIGINT) AS attempted, CAST(sum(CASE WHEN valid THEN CAST(new = 200 AS INTEGER) - CAST(coalesce(old = 200, false) AS INTEGER) ELSE 0 END) OVER w AS BIGINT) AS ok,
+ CAST(sum(CASE WHEN valid THEN {_BAD('new')} - {_BAD('old')} ELSE 0 END) OVER w AS BIGINT) AS failish FROM b WINDOW w AS (PARTITION BY collection_slug ORDER BY row_id)"""
+
+
+@R.add("z13_counts_so_far", _UNIQUE)
+def z13_counts(spark, d):
+    """Of every collection after every row: links tried so far, and how many of them stand at 200 or at a failure; what the
+    stages and streaks are decided by."""
+    return runs.unique_counts(x(spark, d).select("row_id", "collection_slug", "external_link", "status_code"), "collection_slug", "external_link", "row_id").select("row_id", "attempted", "ok", "failish")
+
+
 @R.add("z08_waves", "SELECT collection_slug, CAST(floor((row_number() OVER (ORDER BY n DESC, collection_slug) - 1) / 10) AS BIGINT) AS wave FROM (SELECT collection_slug, count(*) AS n FROM edm_labeled WHERE collection_slug IS NOT NULL GROUP BY 1)")
 def z08(spark, d):
     from pyspark.sql import Window

@@ -15,6 +15,9 @@ def spark():
     s = local_session(8, 8, "4g")
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from harvestry.session import release
+
+    release(s)
 
 
 @pytest.fixture(scope="session")

@@ -419,7 +419,7 @@ def test_ema_in_blocks_equals_a_plain_fold(spark):
 
     rng = rnd.Random(8)
     rows = [(k, i, rng.choice([0.0, 0.0, 1.5, 7.0]) if i > 40 else 0.0) for k in ("a", "b", None) for i in range(300 if k else 30)]
-    got = {r["k"]: r["ema"] for r in runs.ema(spark.createDataFrame(rows, "k string, o bigint, v double").withColumn("_block", F.floor(F.col("o") / 17)), "k", "v", "o").collect()}
+    got = {r["k"]: r["ema"] for r in runs.ema(spark.createDataFrame(rows, "k string, o bigint, v double").withColumn(runs.BLOCK, F.floor(F.col("o") / 17)), "k", "v", "o").collect()}
     for k in ("a", "b", None):
         acc = 0.0
         for q, _, v in rows:
@@ -431,7 +431,7 @@ def test_ema_in_blocks_equals_a_plain_fold(spark):
 def test_counts_by_best_status_per_url(spark):
     rng = random.Random(9)
     rows = [(i, rng.choice(["a", "b", None]), rng.choice(["u", "v", "w", None]), rng.choice([200, 404, 403, 302, 500, 503, -1, -2, -3, None])) for i in range(300)]
-    df = spark.createDataFrame(rows, "o bigint, k string, u string, status_code bigint").withColumn("_block", F.floor(F.col("o") / 23))
+    df = spark.createDataFrame(rows, "o bigint, k string, u string, status_code bigint").withColumn(runs.BLOCK, F.floor(F.col("o") / 23))
     got = {r["o"]: (r["attempted"], r["ok"], r["failish"]) for r in runs.unique_counts(df, "k", "u", "o").collect()}
     rank = lambda s: 0 if s == 200 else 1 if s == 404 else 2 if s >= 500 else 3 if s < 0 else 4
     best = {}
