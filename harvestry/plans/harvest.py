@@ -382,6 +382,15 @@ def a24(spark, d):
     return r.select("n", *[F.round(c, 5).alias(c) for c in ("mean", "std", "low", "high")], "high_failure")
 
 
+@R.add("d06_weighted_line", f"WITH m AS (SELECT run, regr_intercept(fail_pct, completed) + regr_slope(fail_pct, completed) * 1000000 AS a, regr_r2(fail_pct, completed) AS w, arg_max(fail_pct, completed) AS b FROM {SAMPLES} GROUP BY run) SELECT run, round((greatest(0.1, w) * a + 0.1 * b) / (greatest(0.1, w) + 0.1), 4) AS prediction, 2 AS components FROM m")
+def d06_weighted_line(spark, d):
+    """The ensemble over models that SQL has too: the straight line with its r2, and the last value with none to speak of."""
+    s = samples(spark, d)
+    line = runs.linear_models(s, "run", 1_000_000).select("run", F.lit("line").alias("model"), F.col("at_target").alias("prediction"), F.col("r2").alias("r_squared"))
+    last = s.groupBy("run").agg(F.lit("last").alias("model"), F.max_by("fail_pct", "completed").alias("prediction"), F.lit(-0.5).alias("r_squared"))
+    return runs.ensemble(line.unionByName(last), "run", 1_000_000).select("run", F.round("prediction", 4).alias("prediction"), F.col("components").cast("int").alias("components"))
+
+
 @R.add("d10_run_report")
 def d10(spark, d):
     """Statistics and models of each run and of all together, as JSON."""

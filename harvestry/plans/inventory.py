@@ -9,7 +9,7 @@ from harvestry.functions import html as H
 from harvestry.functions import text as T
 from harvestry.operators import labels, mining, planning, profiles, runs
 from harvestry.plans.pages import item_pages
-from harvestry.plans.reference import A01, NG, OK, SAMPLES, rule_lines, samples, x
+from harvestry.plans.reference import A01, COVER, NG, OK, SAMPLES, rule_lines, samples, x
 from harvestry.plans.registry import Registry, table
 from harvestry.sources.tables import overrides
 
@@ -222,7 +222,7 @@ def t02(spark, d):
     return table(spark, d, "type_values").select("value_id", F.explode(mining.stems(F.col("value"))).alias("token"))
 
 
-@R.add("t05_clusters")
+@R.add("t05_clusters", f"SELECT token, list(value ORDER BY value) AS \"values\" FROM (SELECT n.value_id, any_value(v.value) AS value, arg_min(c.token, c.step) AS token FROM {NG} n JOIN {COVER} c USING (token) JOIN type_values v ON v.value_id = n.value_id GROUP BY n.value_id) GROUP BY token")
 def t05(spark, d):
     """Each value under the first selected token that covers it."""
     v = table(spark, d, "type_values")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from harvestry.functions import html as H
 from harvestry.functions import text as T
 from harvestry.operators import runs
-from harvestry.plans.reference import KEY, OK, SRC, parts, samples, x
+from harvestry.plans.reference import KEY, OK, SRC, parts, samples, stages_sql, x
 from harvestry.plans.registry import Registry, table
 from harvestry.session import new_path
 from harvestry.sources import sinks, tables
@@ -141,7 +141,7 @@ def z03(spark, d):
     return live.drain(live.live_streaks(streamed(spark, rows, "fetches"), "collection_slug", "row_id"), new_path(spark, "streaks"), "update")
 
 
-@R.add("w12_negative_streaks")
+@R.add("w12_negative_streaks", stages_sql("collection_slug", "(SELECT * FROM external_pdfs WHERE collection_slug IS NOT NULL)", 50, "key AS collection_slug, row_id"))
 def w12(spark, d, every: int = 50):
     """Ticks of every collection, at each ``every``-th row and at its last, through the stage machine."""
     rows = x(spark, d).where("collection_slug IS NOT NULL").select("collection_slug", "row_id", "status_code", "external_link")

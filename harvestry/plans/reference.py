@@ -660,10 +660,30 @@ def d06(spark, d):
     return runs.ensemble(runs.curve_models(samples(spark, d), "run", 830_313), "run", 830_313)
 
 
-TICKS = f"(SELECT CAST({SRC} AS INTEGER) AS run, row_id, status_code FROM external_pdfs)"
+_BAD = lambda c: f"CASE WHEN {c} < 0 OR ({c} >= 400 AND {c} <> 404) THEN 1 ELSE 0 END"
+
+
+def unique_sql(key: str, rows: str = "external_pdfs") -> str:
+    """Links tried so far and how they stand, after every row of each ``key``."""
+    return f"""(WITH r AS (SELECT row_id, {key} AS key, external_link, status_code AS s, coalesce(external_link IS NOT NULL AND status_code <> -3, false) AS valid,
+ CASE WHEN status_code = 200 THEN 0 WHEN status_code = 404 THEN 1 WHEN status_code >= 500 THEN 2 WHEN status_code < 0 THEN 3 ELSE 4 END * 10000000000 + row_id AS k FROM {rows}),
+b AS (SELECT *, arg_min(s, CASE WHEN valid THEN k END) OVER (PARTITION BY key, external_link ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS old, arg_min(s, CASE WHEN valid THEN k END) OVER (PARTITION BY key, external_link ORDER BY row_id ROWS UNBOUNDED PRECEDING) AS new FROM r)
+SELECT row_id, key, row_number() OVER w AS completed, CAST(sum(CASE WHEN valid AND old IS NULL THEN 1 ELSE 0 END) OVER w AS BIGINT) AS attempted, CAST(sum(CASE WHEN valid THEN CAST(new = 200 AS INTEGER) - CAST(coalesce(old = 200, false) AS INTEGER) ELSE 0 END) OVER w AS BIGINT) AS ok,
+ CAST(sum(CASE WHEN valid THEN {_BAD('new')} - {_BAD('old')} ELSE 0 END) OVER w AS BIGINT) AS failish FROM b WINDOW w AS (PARTITION BY key ORDER BY row_id))"""
+
+
+def stages_sql(key: str, rows: str, every: int, columns: str) -> str:
+    """The stage machine as a recursion over the ticks of each key."""
+    return f"""WITH RECURSIVE t AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY completed) AS i FROM (SELECT * FROM {unique_sql(key, rows)} QUALIFY row_number() OVER (PARTITION BY key, (completed - 1) // {every} ORDER BY completed DESC) = 1)),
+st AS (SELECT key, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS row_id, CAST(0 AS BIGINT) AS completed, 'A' AS stage, CAST(0 AS BIGINT) AS base, CAST(0 AS BIGINT) AS last, CAST(0 AS BIGINT) AS streak, false AS lowered, false AS dropped, CAST(0 AS BIGINT) AS jok, CAST(0 AS BIGINT) AS jbad FROM (SELECT DISTINCT key FROM t)
+ UNION ALL SELECT key, i, row_id, completed, CASE WHEN up THEN CASE stage WHEN 'A' THEN 'B' ELSE 'C' END ELSE stage END, CASE WHEN up THEN attempted ELSE base END, attempted, CASE WHEN s >= 1000 AND NOT lowered THEN 0 ELSE s END, lowered OR s >= 1000, s >= 1000 AND lowered, CASE WHEN new >= 200 THEN ok ELSE jok END, CASE WHEN new >= 200 THEN failish ELSE jbad END
+ FROM (SELECT *, CASE WHEN new >= 200 THEN CASE WHEN ok <= jok AND greatest(0, failish - jbad) / new >= 0.95 THEN streak + new ELSE 0 END ELSE streak END AS s,
+   attempted - base >= 300 AND (stage = 'A' AND 100.0 * failish / attempted >= 20 OR stage = 'B' AND 100.0 * failish / attempted >= 30) AS up
+  FROM (SELECT t.key, t.i, t.row_id, t.completed, t.attempted, t.ok, t.failish, stage, base, last, streak, lowered, jok, jbad, greatest(0, t.attempted - last) AS new FROM st JOIN t ON t.key = st.key AND t.i = st.i + 1 WHERE NOT st.dropped)))
+SELECT {columns}, stage, streak AS negative_streak, lowered, dropped FROM st WHERE i > 0"""
 
 
-@R.add("z04_stage_machine")
+@R.add("z04_stage_machine", stages_sql(f"CAST({SRC} AS INTEGER)", "external_pdfs", 250, "key AS run, completed"))
 def z04(spark, d, every: int = 250):
     """Ticks of every run, at each ``every``-th completion and at its last, through the stage machine."""
     counts = runs.unique_counts(run_rows(spark, d, "external_link"), "run", "external_link", "row_id")
@@ -672,15 +692,7 @@ def z04(spark, d, every: int = 250):
     return runs.stage_machine(ticks, "run", "completed")
 
 
-_BAD = lambda c: f"CASE WHEN {c} < 0 OR ({c} >= 400 AND {c} <> 404) THEN 1 ELSE 0 END"
-_UNIQUE = f"""WITH r AS (SELECT row_id, collection_slug, external_link, status_code AS s, coalesce(external_link IS NOT NULL AND status_code <> -3, false) AS valid,
- CASE WHEN status_code = 200 THEN 0 WHEN status_code = 404 THEN 1 WHEN status_code >= 500 THEN 2 WHEN status_code < 0 THEN 3 ELSE 4 END * 10000000000 + row_id AS k FROM external_pdfs),
-b AS (SELECT *, arg_min(s, CASE WHEN valid THEN k END) OVER (PARTITION BY collection_slug, external_link ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS old, arg_min(s, CASE WHEN valid THEN k END) OVER (PARTITION BY collection_slug, external_link ORDER BY row_id ROWS UNBOUNDED PRECEDING) AS new FROM r)
-SELECT row_id, CAST(sum(CASE WHEN valid AND old IS NULL THEN 1 ELSE 0 END) OVER w AS BIGINT) AS attempted, CAST(sum(CASE WHEN valid THEN CAST(new = 200 AS INTEGER) - CAST(coalesce(old = 200, false) AS INTEGER) ELSE 0 END) OVER w AS BIGINT) AS ok,
- CAST(sum(CASE WHEN valid THEN {_BAD('new')} - {_BAD('old')} ELSE 0 END) OVER w AS BIGINT) AS failish FROM b WINDOW w AS (PARTITION BY collection_slug ORDER BY row_id)"""
-
-
-@R.add("z13_counts_so_far", _UNIQUE)
+@R.add("z13_counts_so_far", f"SELECT row_id, attempted, ok, failish FROM {unique_sql('collection_slug')}")
 def z13_counts(spark, d):
     """Of every collection after every row: links tried so far, and how many of them stand at 200 or at a failure; what the
     stages and streaks are decided by."""
@@ -796,6 +808,15 @@ def t06(spark, d):
     return mining.ranked(mining.coverage(table(spark, d, "type_values"), "value_id", "value", prefix=True)).withColumn("fraction", F.round("fraction", 6))
 
 
-@R.add("t04_greedy_cover")
+#: The greedy cover as a recursion: each step takes the token that most values not yet covered have.
+COVER = f"""(WITH RECURSIVE n AS (SELECT * FROM {NG}), g AS (
+ SELECT CAST(0 AS BIGINT) AS step, CAST('' AS VARCHAR) AS token, CAST(0 AS BIGINT) AS gain, CAST([] AS BIGINT[]) AS ids
+ UNION ALL SELECT step + 1, b.token, b.gain, list_concat(ids, (SELECT list(value_id) FROM n WHERE n.token = b.token AND NOT list_contains(ids, n.value_id)))
+ FROM g, LATERAL (SELECT c.token, c.gain FROM (SELECT n.token, count(*) FILTER (WHERE NOT list_contains(g.ids, n.value_id)) AS gain, count(*) AS size FROM n GROUP BY n.token) c ORDER BY c.gain DESC, c.size DESC, c.token LIMIT 1) b
+ WHERE len(ids) < (SELECT CAST(floor(0.8 * count(*)) AS BIGINT) FROM type_values) AND b.gain > 0)
+SELECT step, token, gain, CAST(len(ids) AS BIGINT) AS covered FROM g WHERE step > 0)"""
+
+
+@R.add("t04_greedy_cover", f"SELECT * FROM {COVER}")
 def t04(spark, d):
     return mining.greedy_cover(table(spark, d, "type_values"), "value_id", "value", 0.8)
